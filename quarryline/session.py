@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cpus: int | None = None, app: str = "quarryline", **conf: str) -> SparkSession:
@@ -27,18 +27,22 @@ def build_session(cpus: int | None = None, app: str = "quarryline", **conf: str)
     return spark
 
 
+_OWN_FOLDER: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it; a local one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="quarryline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not _OWN_FOLDER:
+            _OWN_FOLDER.append("file://" + tempfile.mkdtemp(prefix="quarryline-"))
+        folder = _OWN_FOLDER[0]
     return folder
 
 
-def cut(df, eager: bool = True):
+def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage through a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
