@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import lookalikes, topn
+from quarryline.llm import lookalikes, mojibake, residue, topn
 from quarryline.sources.tables import read_table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue_fields(read_table(spark, folder, "domain_metadata")).select("domain", "field").distinct()
+
+
+def p2_marked(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.with_residue(residue.field_texts(read_table(spark, folder, "domain_metadata")), "text")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     contacts = lookalikes.lookalike_rows(read_table(spark, folder, "domain_contacts"), "id", "value", "domain_contacts.value")
     people = lookalikes.lookalike_rows(read_table(spark, folder, "domain_employees"), "id", "name", "domain_employees.name")
@@ -23,7 +31,19 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return topn.best_contacts(read_table(spark, folder, "domain_contacts"), 3).select("id")
 
 
+def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.restore(residue.field_texts(read_table(spark, folder, "domain_metadata")))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_restored(spark, folder).select("domain", "field").distinct()
+
+
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_marked": p2_marked,
+    "p5_found": p5_found,
+    "p5_restored": p5_restored,
     "p3_found": p3_found,
     "p3_canonical": p3_canonical,
     "p4_found": p4_found,
