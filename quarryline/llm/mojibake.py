@@ -164,7 +164,12 @@ def repaired(text: str, pairs: list[str], wide: list[str]) -> str:
         for p in pairs:
             new = undo(run, p)
             if new is not None and len(new) < len(run) and len(scripts(new)) < 2:
-                sure = sure or not natural(run)
+                a, b = m.start(), m.end()
+                while a and text[a - 1].isalpha():
+                    a -= 1
+                while b < len(text) and text[b].isalpha():
+                    b += 1
+                sure = sure or not natural(text[a:b])
                 return new
         for p in wide if len(run) >= 6 else ():
             new = undo(run, p)

@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import lookalikes, mojibake, residue, topn
+from quarryline.llm import language, lookalikes, mojibake, residue, topn
 from quarryline.sources.tables import read_table
 
 
+def _language_model(spark: SparkSession, folder: str) -> language.Classifier:
+    return language.fit(language.labelled_sample(read_table(spark, folder, "documents")))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    metadata = read_table(spark, folder, "domain_metadata")
+    texts = residue.field_texts(metadata, fields=("description",))
+    residual = residue.with_residue(texts, "text").filter("residue is not null").select("domain")
+    damaged = mojibake.restore(residue.field_texts(metadata)).filter("field = 'description'").select("domain")
+    return language.misdeclared(metadata, _language_model(spark, folder), residual.unionByName(damaged))
+
+
+def p1_languages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "domain_metadata").select("domain", "language", "description").distinct()
+    return language.with_language(language.with_segments(rows, "description", _language_model(spark, folder)))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue_fields(read_table(spark, folder, "domain_metadata")).select("domain", "field").distinct()
 
@@ -40,6 +57,8 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_languages": p1_languages,
     "p2_found": p2_found,
     "p2_marked": p2_marked,
     "p5_found": p5_found,
