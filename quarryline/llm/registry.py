@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarryline.llm import language, lookalikes, mojibake, residue, topn
+from quarryline.llm import entries, language, lookalikes, mojibake, residue, topn
 from quarryline.sources.tables import read_table
 
 
@@ -56,7 +57,23 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_restored(spark, folder).select("domain", "field").distinct()
 
 
+def p6_mapped(spark: SparkSession, folder: str) -> DataFrame:
+    places = read_table(spark, folder, "ref_places").select(F.col("place_id").alias("ref_id"), F.col("place").alias("name"), "area", "code")
+    titles = read_table(spark, folder, "ref_titles").select(F.col("title_id").alias("ref_id"), F.col("title").alias("name"))
+    located = read_table(spark, folder, "domain_metadata").select(F.col("domain").alias("record_key"), F.col("location").alias("value"))
+    people = read_table(spark, folder, "domain_employees").select(F.col("id").cast("string").alias("record_key"), F.col("title").alias("value"))
+    a = entries.mapped(located, places, "place", areas=True).withColumn("field", F.lit("location"))
+    b = entries.mapped(people, titles, "title", extra=places).withColumn("field", F.lit("title"))
+    return a.unionByName(b).select("field", "record_key", "value", "ref_id", "score")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_mapped(spark, folder).select("field", "record_key", "ref_id").distinct()
+
+
 QUERIES = {
+    "p6_found": p6_found,
+    "p6_mapped": p6_mapped,
     "p1_found": p1_found,
     "p1_languages": p1_languages,
     "p2_found": p2_found,
