@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import entries, language, lookalikes, mojibake, residue, topn
+from quarryline.llm import entries, language, lookalikes, mojibake, names, residue, topn
 from quarryline.sources.tables import read_table
 
 
@@ -71,7 +71,17 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_mapped(spark, folder).select("field", "record_key", "ref_id").distinct()
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.linked_pairs(read_table(spark, folder, "domain_employees"))
+
+
+def p7_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return names.clusters(read_table(spark, folder, "domain_employees"))
+
+
 QUERIES = {
+    "p7_found": p7_found,
+    "p7_clusters": p7_clusters,
     "p6_found": p6_found,
     "p6_mapped": p6_mapped,
     "p1_found": p1_found,
