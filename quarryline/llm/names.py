@@ -194,12 +194,15 @@ def family_score(a: str, b: str) -> float:
     return 0.0
 
 
-def orders(words: tuple[str, ...], sure: bool) -> list[tuple[str, tuple[str, ...], str]]:
+def orders(words: tuple[str, ...], sure: bool, common: frozenset) -> list[tuple[str, tuple[str, ...], str]]:
     """The ways to read the words as given name, middle initials and family name."""
     if len(words) == 1:
         return [("", (), words[0])]
     out = []
-    for w in ((words,) if sure else (words, words[1:] + words[:1])):
+    turned = words[1:] + words[:1]
+    known = lambda x: len(x) == 1 or x in common or x in FULL
+    ways = (words,) if sure or known(words[0]) else (turned,) if known(words[-1]) else (words, turned)
+    for w in ways:
         head, last = w[:-1], w[-1]
         if len(last) == 1:
             continue
@@ -215,8 +218,8 @@ def orders(words: tuple[str, ...], sure: bool) -> list[tuple[str, tuple[str, ...
 
 def person_score(a: tuple, b: tuple, common: frozenset) -> float:
     best = 0.0
-    for ga, ma, la in orders(a[0], a[1]):
-        for gb, mb, lb in orders(b[0], b[1]):
+    for ga, ma, la in orders(a[0], a[1], common):
+        for gb, mb, lb in orders(b[0], b[1], common):
             family = family_score(la, lb)
             if not family or not ga or not gb:
                 continue
@@ -277,12 +280,12 @@ def _norm(names: pd.Series) -> pd.DataFrame:
 
 
 def common_given(spellings: DataFrame, least: int = 8, most: int = 5000) -> frozenset:
-    """Given names that people of many domains bear: at least ``least`` domains and a thousandth of them.
+    """Given names that people of many domains bear: at least ``least`` domains and one in 5000 of the spellings.
 
-    At most 1000 spellings can reach a thousandth of the names, so what comes to the driver is bounded.
+    At most 5000 given names can reach that share, so what comes to the driver is bounded.
     """
     total = spellings.select(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    rows = spellings.filter("given is not null").groupBy("given").agg(F.countDistinct("domain").alias("n")).filter(F.col("n") >= max(least, total // 1000)).limit(most).collect()
+    rows = spellings.filter("given is not null").groupBy("given").agg(F.countDistinct("domain").alias("n")).filter(F.col("n") >= max(least, total // 5000)).limit(most).collect()
     return frozenset(r["given"] for r in rows)
 
 
