@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import entries, language, lookalikes, mojibake, names, residue, topn
+from quarryline.llm import entries, language, lookalikes, mixing, mojibake, names, packing, quality, residue, topn
 from quarryline.sources.tables import read_table
 
 
@@ -79,7 +79,37 @@ def p7_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return names.clusters(read_table(spark, folder, "domain_employees"))
 
 
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(read_table(spark, folder, "documents"), read_table(spark, folder, "container_specs"))
+
+
+def p8_fills(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fills(p8_packed(spark, folder))
+
+
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
+
+
+def p10_scored(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(read_table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_scored(spark, folder).filter("not is_prose").select("doc_id")
+
+
 QUERIES = {
+    "p8_packed": p8_packed,
+    "p8_fills": p8_fills,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_scored": p10_scored,
     "p7_found": p7_found,
     "p7_clusters": p7_clusters,
     "p6_found": p6_found,
