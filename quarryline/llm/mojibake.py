@@ -204,7 +204,7 @@ def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """Word counts, pairs of garbled word and twin, and the learned transformations with support enough."""
     counts = words_of(texts).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
-    has_skeleton = F.length(F.regexp_replace("skeleton", r"[^A-Za-z]", "")) >= 3
+    has_skeleton = F.length(F.regexp_replace("skeleton", r"[^A-Za-z]", "")) >= 2
     clean = F.col("word").rlike(r"[^\x00-\x7f]") & ~F.col("word").rlike(r"\?|�|[\x{80}-\x{9f}]")
     twins = (
         counts.filter(has_skeleton)

@@ -30,7 +30,6 @@ from pyspark.sql import types as T
 from quarryline.llm.lookalikes import canonical
 from quarryline.session import cut
 
-POWER = 1.0
 LEAST_COSINE = 0.3
 LEAST_SCORE = 0.6
 AVERAGE = 0.4
@@ -166,11 +165,12 @@ def given_score(a: str, b: str, common_a: bool, common_b: bool) -> float:
         return 0.75 if len(sa) >= 6 and len(sb) >= 6 and slip(sa, sb) else 0.0
     if len(short) >= 3 and slip(a, b):
         return 0.9
-    # a slip in a nickname or another transliteration
-    known = {n for f in (FULL.get(a, set()) | FULL.get(b, set())) for n in (f, *NICKNAMES[f].split())}
-    other = b if a in FULL else a
-    if known and len(other) >= 3 and any(slip(other, n) and not gendered(other, n) for n in known if len(n) >= 3):
-        return 0.8
+    # a slip in a nickname or another transliteration of a known name
+    for known, other in ((a, b), (b, a)):
+        if known in FULL and other not in FULL and len(other) >= 3:
+            spellings = {n for f in FULL[known] for n in (f, *NICKNAMES[f].split())}
+            if any(slip(other, n) and not gendered(other, n) for n in spellings if len(n) >= 3):
+                return 0.8
     if a[0] == b[0] and min(len(sa), len(sb)) >= 4 and slip(sa, sb):
         return 0.8
     return 0.0
@@ -294,7 +294,7 @@ def candidates(nodes: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     gram = nodes.select("domain", "node", F.explode("grams").alias("gram"))
     total = nodes.count()
     df = gram.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    weight = df.select("gram", "df", F.pow(F.log(F.lit(float(total + 1)) / F.col("df")), F.lit(POWER)).alias("w"))
+    weight = df.select("gram", "df", F.log(1 + F.lit(float(total)) / F.col("df")).alias("w"))
     vectors = gram.join(weight, "gram").groupBy("domain", "node").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
     vectors = vectors.withColumn("norm", norm).withColumn("v", F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))))

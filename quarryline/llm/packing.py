@@ -31,6 +31,8 @@ from quarryline.llm.tokens import TOKENIZER, token_count
 
 FEATURES, DIMENSIONS, BITS = 512, 4, 10
 BLOCK, GOOD = 96, 0.97
+#: More specs than this are refused; the list is a parameter of a packing, not data.
+MOST_SPECS = 1000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -161,7 +163,12 @@ def packed(documents: DataFrame, specs: DataFrame, tokenizer: str = TOKENIZER, p
     from quarryline.session import cut
 
     measured = cut(documents.select("doc_id", token_count(F.col("text"), tokenizer).alias("size"), _keys("text").alias("key")))
-    items = measured.join(specs.select("spec", F.col("capacity_tokens").alias("capacity")).distinct(), F.lit(True))  # one copy of the narrow rows per spec
+    listed = specs.select("spec", F.col("capacity_tokens").alias("capacity")).filter("capacity > 0").distinct().orderBy("spec").limit(MOST_SPECS + 1).collect()
+    if len(listed) > MOST_SPECS:
+        raise ValueError(f"more than {MOST_SPECS} specs")
+    kinds = [F.struct(F.lit(r["spec"]).alias("spec"), F.lit(r["capacity"]).cast("int").alias("capacity")) for r in listed]
+    each = F.explode(F.array(*kinds) if kinds else F.array().cast("array<struct<spec:string,capacity:int>>")).alias("s")
+    items = measured.select("doc_id", "size", "key", each).select("doc_id", "size", "key", "s.*")  # one copy of the narrow rows per spec
     pieces = F.greatest(F.lit(1), F.ceil(F.col("size") / F.col("capacity")))
     items = items.select("spec", "capacity", "key", "doc_id", "size", F.posexplode(F.sequence(F.lit(0), (pieces - 1).cast("int"))).alias("piece", "at"))
     start = F.col("piece") * F.col("capacity")
