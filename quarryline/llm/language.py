@@ -253,17 +253,18 @@ def with_language(df: DataFrame, segments: str = "segments", language: str = "de
     return df.withColumns({language: best["lang"], confidence: F.round(best["share"], 4)})
 
 
-def misdeclared(metadata: DataFrame, model: Classifier, excluded: DataFrame) -> DataFrame:
-    """``domain``, ``lang`` for each language of a description that is unlabelled, wrongly labelled or mixed.
-
-    ``excluded`` holds the domains whose description is residue or wrongly decoded.
-    """
+def suspects(metadata: DataFrame, model: Classifier) -> DataFrame:
+    """``domain``, ``whole``: domains whose description is unlabelled, wrongly labelled or mixed, with the languages of its whole sentences."""
     rows = metadata.select("domain", "language", "description").filter("description is not null and trim(description) <> ''").distinct()
-    rows = rows.join(excluded.select("domain").distinct(), "domain", "left_anti")
     seen = with_segments(rows, "description", model)
     every = F.array_distinct(F.transform("segments", lambda x: x["lang"]))
     whole = F.array_distinct(F.transform(F.filter("segments", lambda x: x["whole"]), lambda x: x["lang"]))
     named = _label(F.col("language"))
     cases = seen.select("domain", every.alias("every"), whole.alias("whole"), named.alias("named"))
     wrong = F.col("named").isNull() | ~F.array_contains("every", F.col("named")) | (F.size("whole") > 1)
-    return cases.filter(wrong).select("domain", F.explode("whole").alias("lang")).distinct()
+    return cases.filter(wrong).select("domain", "whole")
+
+
+def misdeclared(cases: DataFrame, excluded: DataFrame) -> DataFrame:
+    """``domain``, ``lang`` for each language of a case; ``excluded`` holds the domains whose description is residue or wrongly decoded."""
+    return cases.join(excluded.select("domain").distinct(), "domain", "left_anti").select("domain", F.explode("whole").alias("lang")).distinct()

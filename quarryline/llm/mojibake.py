@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.session import cut
+
 # Candidate encodings: UTF-8 read as one of READERS; or written in one of WRITERS and read as one of MISREADERS.
 READERS = ["cp1252", "latin_1", "cp1251", "cp1250", "cp1253", "cp1254", "cp437", "cp850", "cp852", "cp866", "mac_roman", "iso8859_2", "iso8859_9", "iso8859_15", "koi8_r", "gbk", "big5"]
 WRITERS = ["cp1251", "koi8_r", "cp866", "iso8859_5", "cp1250", "iso8859_2", "cp1254", "iso8859_9", "cp1252", "cp1253", "iso8859_7", "cp1256", "iso8859_6", "cp437", "cp850", "cp852", "mac_roman", "mac_cyrillic", "gbk", "gb18030", "big5"]
@@ -200,8 +202,8 @@ def respelt(text: str, singles: list[str]) -> str:
     return "".join(parts)
 
 
-def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Word counts, pairs of garbled word and twin, and the learned transformations with support enough."""
+def learn(texts: DataFrame) -> DataFrame:
+    """``word``, ``twin``, ``pairs``: garbled words with their clean twins and the transformations that explain them."""
     counts = words_of(texts).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
     has_skeleton = F.length(F.regexp_replace("skeleton", r"[^A-Za-z]", "")) >= 2
@@ -220,7 +222,7 @@ def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     known = counts.select(F.col("word").alias("twin"), F.col("n").alias("twin_n"))
     by_word = bare.select("word", "n", "o.pair", F.col("o.original").alias("twin")).join(known, "twin").filter("twin_n > n and twin_n > 1")
     by_word = by_word.groupBy("word", "twin").agg(F.collect_set("pair").alias("pairs"))
-    return counts, by_skeleton.unionByName(by_word), []
+    return by_skeleton.unionByName(by_word)
 
 
 def supported(pairs: DataFrame) -> list[str]:
@@ -232,13 +234,14 @@ def supported(pairs: DataFrame) -> list[str]:
     return sorted(good, key=lambda p: (-int(p[-1]), -support[p], p))
 
 
-def restore(metadata_texts: DataFrame) -> DataFrame:
-    """``domain``, ``field``, ``kind``, ``restored`` of each damaged text; ``restored`` keeps what can't be recovered."""
-    texts = metadata_texts.select("domain", "field", "text")
-    _, pairs, _ = learn(texts)
-    from quarryline.session import cut
+def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """``domain``, ``field``, ``kind``, ``text``, ``restored`` of each damaged text; ``restored`` keeps what can't be recovered.
 
-    pairs = cut(pairs)
+    Transformations are learned from all texts; with ``only``, they are applied to those of its texts.
+    """
+    every = metadata_texts.select("domain", "field", "text")
+    pairs = cut(learn(every))
+    texts = only.select("domain", "field", "text") if only is not None else every
     learned = supported(pairs)
     utf8 = [p for p in learned if p.startswith("utf8")]
     wide = [p for p in learned if p.split(">")[0] in WIDE]

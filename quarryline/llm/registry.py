@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.llm import entries, language, lookalikes, mixing, mojibake, names, packing, quality, residue, topn
+from quarryline.session import cut
 from quarryline.sources.tables import read_table
 
 
@@ -15,10 +16,12 @@ def _language_model(spark: SparkSession, folder: str) -> language.Classifier:
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     metadata = read_table(spark, folder, "domain_metadata")
-    texts = residue.field_texts(metadata, fields=("description",))
-    residual = residue.with_residue(texts, "text").filter("residue is not null").select("domain")
-    damaged = mojibake.restore(residue.field_texts(metadata)).filter("field = 'description'").select("domain")
-    return language.misdeclared(metadata, _language_model(spark, folder), residual.unionByName(damaged))
+    cases = cut(language.suspects(metadata, _language_model(spark, folder)))
+    # only the cases are looked through for residue and damage; what damage looks like is learned from all texts
+    described = residue.field_texts(metadata, fields=("description",)).join(cases.select("domain"), "domain", "left_semi")
+    residual = residue.with_residue(described, "text").filter("residue is not null").select("domain")
+    damaged = mojibake.restore(residue.field_texts(metadata), described).select("domain")
+    return language.misdeclared(cases, residual.unionByName(damaged))
 
 
 def p1_languages(spark: SparkSession, folder: str) -> DataFrame:

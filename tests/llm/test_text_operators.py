@@ -52,9 +52,9 @@ def test_fit_needs_labels():
 def test_misdeclared(spark, model):
     rows = [("a", "en", None, ENGLISH[0]), ("a", "en", None, ENGLISH[0]), ("b", None, None, GERMAN[0]), ("c", "de", None, f"{ENGLISH[0]} {GERMAN[1]}"), ("d", "xx", None, None), ("e", "ru", None, " "), ("f", None, None, ENGLISH[1])]
     df = spark.createDataFrame(rows, META)
-    out = language.misdeclared(df, model, spark.createDataFrame([("f",)], "domain string")).collect()
+    out = language.misdeclared(language.suspects(df, model), spark.createDataFrame([("f",)], "domain string")).collect()
     assert sorted(map(tuple, out)) == [("b", "de"), ("c", "de"), ("c", "en")]
-    assert language.misdeclared(df.limit(0), model, df.limit(0)).count() == 0
+    assert language.misdeclared(language.suspects(df.limit(0), model), df.limit(0)).count() == 0
 
 
 # ---- residue -------------------------------------------------------------------------------------------------
