@@ -18,7 +18,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     metadata = read_table(spark, folder, "domain_metadata")
     cases = cut(language.suspects(metadata, _language_model(spark, folder)))
     # only the cases are looked through for residue and damage; what damage looks like is learned from all texts
-    described = residue.field_texts(metadata, fields=("description",)).join(cases.select("domain"), "domain", "left_semi")
+    described = cut(residue.field_texts(metadata, fields=("description",)).join(cases.select("domain"), "domain", "left_semi"))
     residual = residue.with_residue(described, "text").filter("residue is not null").select("domain")
     damaged = mojibake.restore(residue.field_texts(metadata), described).select("domain")
     return language.misdeclared(cases, residual.unionByName(damaged))
