@@ -52,7 +52,7 @@ def decode_hidden_email(code: str | Column) -> Column:
     byte = lambda i: F.conv(F.substr(c, i, F.lit(2)), 16, 10).cast("int")
     key = byte(F.lit(1))
     places = F.when(F.length(c) >= 4, F.sequence(F.lit(3), F.length(c) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(places, lambda i: F.char(byte(i).bitwiseXOR(key))), "")
+    return F.when(c.isNotNull(), F.array_join(F.transform(places, lambda i: F.char(byte(i).bitwiseXOR(key))), ""))
 
 
 def is_employee_email(email: str | Column, domain: str | Column) -> Column:
