@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.session import cut
+
 # Words that say nothing of the entry meant.
 NOISE_PLACE = frozenset("hq city near greater dist district head office town region area the of in at metro central downtown province state county branch main suburb outskirts vicinity around close to".split())
 NOISE_TITLE = frozenset("the of for and a an acting interim office branch hq department dept team at in region head_office".split())
@@ -146,10 +148,12 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     weights = listed.join(idf, "word")
     norms = weights.groupBy("ref_id").agg(F.sum(F.col("idf") * F.col("idf")).alias("entry_norm"), F.sum("idf").alias("entry_idf"), F.count(F.lit(1)).alias("entry_words"))
 
-    at = values.select("value", F.posexplode(split("value")).alias("pos", "token"))
+    # the steps are written out one by one: as one plan they take the driver's memory
+    weights = cut(weights)
+    at = cut(values.select("value", F.posexplode(split("value")).alias("pos", "token")))
     found = at.select("token").distinct()
     vocabulary = idf.select("word", "generic")
-    matches = token_matches(found, vocabulary, mode)
+    matches = cut(token_matches(found, vocabulary, mode))
 
     # tokens that may be left over
     loose = found.filter(F.col("token").rlike("^[0-9]+$") | F.col("token").isin(noise)).select("token")
@@ -161,13 +165,14 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     if extra is not None:
         beside = extra.select(F.explode(split("name")).alias("word")).distinct().withColumn("generic", F.lit(False))
         loose = loose.unionByName(token_matches(found, beside, "place").select("token"))
-    loose = loose.distinct().withColumn("loose", F.lit(True))
+    loose = cut(loose.distinct()).withColumn("loose", F.lit(True))
 
     # soft TF-IDF of each value with the entries that hold one of its corrected tokens
     token_weight = matches.join(idf, "word").groupBy("token").agg(F.max_by("idf", F.struct("sim", "idf")).alias("token_idf"))
     most = df.crossJoin(total).agg(F.max(F.log(1 + F.col("total"))).alias("most"))
     weighed = at.join(token_weight, "token", "left").join(loose, "token", "left").crossJoin(most)
     weighed = weighed.select("value", "pos", "token", F.coalesce("loose", F.lit(False)).alias("loose"), F.coalesce("token_idf", "most").alias("token_idf"))
+    weighed = cut(weighed)
     hits = weighed.join(matches, "token").join(weights, "word")
     best = hits.groupBy("value", "ref_id", "word").agg(F.max(F.struct("sim", -F.col("pos"))).alias("m"), F.first("idf").alias("idf"))
     best = best.select("value", "ref_id", "idf", F.col("m.sim").alias("sim"), (-F.col("m.col2")).alias("pos"))
@@ -183,7 +188,7 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     full = F.col("words") == F.col("entry_words")
     partial = (F.col("covered") >= 0.6 * F.col("entry_idf")) & ((F.col("words") >= 2) if mode == "title" else F.lit(True))
     scored = scored.withColumn("score", F.col("dot") / F.sqrt(F.greatest("value_norm", "dot") * F.col("entry_norm"))).filter((left == 0) & (full | partial) & (F.col("score") >= LEAST))
-    scored = scored.withColumn("full", full)
+    scored = cut(scored.withColumn("full", full).select("value", "ref_id", "score", "full"))
     rank: list[Column] = [F.col("score")]
     if areas:
         same = entries.select("ref_id", "area")
