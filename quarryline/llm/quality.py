@@ -6,11 +6,12 @@ are ranked on each statistic exactly: the statistics are stacked as (statistic,
 are counted first, the distinct values are range-partitioned and sorted, each partition is numbered with running
 counts, and the partitions' totals are turned into offsets; the sum of both is the empirical cumulative
 distribution. An outlier score adds up the negative logarithms of the tail probabilities, each statistic on the
-side or sides on which junk lies. Documents whose score reaches ``LEAST_SCORE`` are candidates, and the share of
-text in sentences and the number of sentences decide.
+side or sides on which junk lies. It is reported and takes no part in the verdict: a broken text has a low score only
+where most texts of its language are as broken, or where it is alone. The share of text in sentences and the number of
+sentences decide.
 
-Equal values (blank texts, copies) meet as one row, so no rank group grows with its copies. What reaches the
-driver is one total per partition, statistic and language.
+Copies of a text are ranked once, and equal values meet as one row, so no rank group grows with its copies. What reaches
+the driver is one total per partition, statistic and language.
 
 Defined results: null and blank texts have no words, all ratios 0, and are no prose; very long texts are
 measured whole; repeated rows and ties have the same rank; a language with one document ranks it 1; an empty
@@ -49,7 +50,6 @@ for _l, _ws in COMMON.items():
 STATISTICS = ("words", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "common_share", "sentence_share")
 #: The sides on which junk lies: the left or the right tail of a statistic, or both.
 SIDES = {"words": "l", "mean_word_length": "lr", "symbol_ratio": "r", "digit_ratio": "r", "ended_lines": "l", "common_share": "l", "sentence_share": "l"}
-LEAST_SCORE = 0.5
 LEAST_SHARE = 0.5
 
 TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0900-\u0963\u064b-\u0652\u200c\u200d])*(?:[’'\-][^\W\d_]+)*")
@@ -184,17 +184,16 @@ def scored(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``documents`` with their statistics, ``outlier_score`` and ``is_prose``; ``key`` is unique."""
     from quarryline.session import cut
 
-    measured = cut(with_measures(documents.select(key, text), text).drop(text))
+    measured = cut(with_measures(documents.select(key, text, F.sha2(text, 256).alias("digest")), text).drop(text))
     stacked = F.explode(F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("value")) for s in STATISTICS])).alias("x")
     long = measured.select(key, F.col("text_language").alias("lang"), stacked).select(key, "lang", "x.statistic", "x.value")
-    # texts of no known language are ranked among all documents
-    pooled = long.filter("lang <> 'none'").unionByName(long.withColumn("lang", F.lit("none")))
-    ranks = exact_ranks(pooled.select("statistic", "lang", "value"))
+    once = measured.dropDuplicates(["digest"]).select(F.col("text_language").alias("lang"), stacked).select("x.statistic", "lang", "x.value")
+    # texts of no known language are ranked among all texts
+    ranks = exact_ranks(once.filter("lang <> 'none'").unionByName(once.withColumn("lang", F.lit("none"))))
     left, right = -F.log(F.col("at_most") / F.col("total")), -F.log(F.col("at_least") / F.col("total"))
     side = F.create_map(*[x for s, d in SIDES.items() for x in (F.lit(s), F.lit(d))])[F.col("statistic")]
     tail = F.when(side == "l", left).when(side == "r", right).otherwise(F.greatest(left, right))
     ranks = ranks.select("statistic", "lang", "value", tail.alias("tail"))
     score = long.join(ranks, ["statistic", "lang", "value"]).groupBy(key).agg(F.round(F.sum("tail"), 4).alias("outlier_score"))
     broken = (F.col("words") == 0) | (F.col("sentence_share") < LEAST_SHARE) | ((F.col("sentences") <= 1) & (F.col("other_lines") >= 3))
-    out = measured.join(score, key).withColumn("is_prose", ~((F.col("outlier_score") >= LEAST_SCORE) & broken) & (F.col("words") > 0))
-    return out
+    return measured.drop("digest").join(score, key).withColumn("is_prose", ~broken)

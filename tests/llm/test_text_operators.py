@@ -152,3 +152,16 @@ def test_verdicts(spark):
     out = {r.doc_id: r.is_prose for r in quality.scored(df).collect()}
     assert [i for i, ok in sorted(out.items()) if not ok] == [1, 2, 3, 4, 8, 9]
     assert quality.scored(df.limit(0)).count() == 0
+
+
+def test_verdicts_where_junk_dominates_or_stands_alone(spark):
+    korean = "목록;수량\n" + "\n".join(f"{i};{i * 3}" for i in range(9))
+    german = "Wir liefern die Ware zum Hafen und unsere Mitarbeiter antworten am selben Tag. Die Familie besitzt das Unternehmen noch heute."
+    lists = "die und der\n" + "\n".join(f"Pfeffer {i};{i * 7}" for i in range(20))
+    texts = [lists] * 60 + [german, PROSE, korean, "Liste der Waren und Preise\n" + "\n".join(["Salz;1", "Reis;2", "Mehl;3"] * 4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in quality.scored(df).collect()}
+    assert [i for i, r in sorted(out.items()) if r.is_prose] == [60, 61]
+    assert out[0].outlier_score == out[59].outlier_score > 0
+    alone = spark.createDataFrame([(1, TABLE), (2, german)], "doc_id long, text string")
+    assert {r.doc_id: r.is_prose for r in quality.scored(alone).collect()} == {1: False, 2: True}
