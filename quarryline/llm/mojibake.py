@@ -1,15 +1,17 @@
 """Text decoded with the wrong character encoding: finding it and restoring the original.
 
 1. Twins. Every word with a character outside ASCII (or a question mark inside) is counted over all texts. Its
-   skeleton is the word stripped of those characters. Of the words of one skeleton the most frequent is taken as
-   the clean twin; each other word is joined with it. Words that keep no skeleton (other scripts) are joined with
-   the word that a transformation turns them into.
+   skeleton is the word stripped of those characters. Of the words of one skeleton the most frequent and the one of
+   the most usual pairs of characters are joined with the others. Which side is the clean one is told by how many
+   distinct words have the pairs of characters of each, so a garbled text with many copies is no twin of its clean
+   words; the counts decide only where that is near equal. Words that keep no skeleton (other scripts) are joined
+   with the word that a transformation turns them into.
 2. Alignment. The ASCII runs of a pair coincide, so its other runs pair up character by character. A
    transformation (written in encoding A, read as B, once or twice) is learned where it maps the clean runs of
    enough distinct pairs to the garbled ones.
 3. Application. The learned transformations are undone in all texts: reading of UTF-8 run by run, where the bytes
    must form valid UTF-8; single-byte confusions word by word, where the word it gives must be known to the
-   corpus. Replacement characters, and question marks in the place of letters of a twin, mark text whose
+   corpus and clearly more usual, whatever the counts. Replacement characters, and question marks in the place of letters of a twin, mark text whose
    original is lost; the twin's spelling is put in where there is one.
 
 Counting words pre-aggregates before the shuffle; the twin of a skeleton is an aggregate (no pairs within a
@@ -45,6 +47,8 @@ RUN = re.compile(r"[^\x00-\x7f]+")
 HOLE = re.compile(r"[^\x00-\x7f]+|\?+")
 #: A transformation counts as learned with this many distinct aligned pairs.
 SUPPORT = {"utf8": 1, "single": 3}
+#: So much more usual, as a logarithm, the pairs of characters of one spelling must be to tell it as the clean one whatever the counts.
+CLEAR = 1.0
 
 
 def to_bytes(text: str, reader: str) -> bytes | None:
@@ -202,29 +206,106 @@ def respelt(text: str, singles: list[str]) -> str:
     return "".join(parts)
 
 
-def learn(texts: DataFrame) -> DataFrame:
-    """``word``, ``twin``, ``pairs``: garbled words with their clean twins and the transformations that explain them."""
+def reads_as_utf8(word: str) -> bool:
+    """Whether a run of ``word``, which doesn't read like a word itself, is UTF-8 under some reading."""
+    if natural(word):
+        return False
+    for run in RUN.findall(word):
+        if len(run) > 1 and any((new := undo(run, p)) is not None and len(new) < len(run) and len(scripts(new)) < 2 for p in UTF8_PAIRS):
+            return True
+    return False
+
+
+def edges(word: str) -> list[str]:
+    """The distinct pairs of adjacent characters, the ends of the word included, that hold one outside ASCII; none of UTF-8 misread or of letters of two scripts."""
+    b = f"^{word.lower()}$"
+    return [] if len(scripts(word)) > 1 or reads_as_utf8(word) else sorted({b[i : i + 2] for i in range(len(b) - 1) if not b[i : i + 2].isascii()})
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _edges(words: pd.Series) -> pd.Series:
+    return pd.Series([edges(w) for w in words], dtype=object)
+
+
+def spellings(texts: DataFrame) -> DataFrame:
+    """``word``, ``n``, ``usual`` of all odd words: how many fields have it, and how usual its pairs of characters are.
+
+    ``usual`` is the mean logarithm of the number of distinct words with each pair, so copies of a text, however many,
+    make the spellings in it no more usual.
+    """
     counts = words_of(texts).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
+    held = counts.select("word", F.explode(_edges("word")).alias("edge"))
+    types = held.groupBy("edge").agg(F.count(F.lit(1)).alias("types"))
+    usual = held.join(types, "edge").groupBy("word").agg(F.avg(F.log("types")).alias("usual"))
+    return counts.join(usual, "word", "left").fillna(0.0, ["usual"])
+
+
+def turned(usual: float, other: float) -> int:
+    """1 where the second of two spellings is clearly the usual one, -1 where the first is, else 0."""
+    return (other - usual > CLEAR) - (usual - other > CLEAR)
+
+
+TURNED = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("twin", T.StringType()), T.StructField("pairs", T.ArrayType(T.StringType()))]))
+
+
+@F.pandas_udf(TURNED)
+def _directed(words: pd.Series, ns: pd.Series, usuals: pd.Series, twins: pd.Series, twin_ns: pd.Series, twin_usuals: pd.Series) -> pd.Series:
+    """The garbled spelling of each two with its clean twin: the side that a transformation turns into the more usual one."""
+    out = []
+    for w, n, u, t, tn, tu in zip(words, ns, usuals, twins, twin_ns, twin_usuals, strict=True):
+        way, found = turned(u, tu), []
+        if n <= tn and way >= 0 or way > 0:
+            found.append((w, t, explained(w, t)))
+        elif way < 0 and not re.search(r"[?\ufffd\x80-\x9f]", w):
+            found.append((t, w, explained(t, w)))
+        if not found or not found[0][2]:
+            # marks in the place of letters, and runs that read as UTF-8, tell the direction by themselves
+            utf8 = [p for p in explained(w, t) if p.startswith("utf8")]
+            found = [(w, t, utf8)] if utf8 or n <= tn or holes_match(w, t) and ("?" in w or LOST in w) else []
+        out.append([{"word": a, "twin": b, "pairs": ps} for a, b, ps in found])
+    return pd.Series(out, dtype=object)
+
+
+def learn(texts: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """``word``, ``twin``, ``pairs``: garbled words with their clean twins and the transformations that explain them."""
+    counts = (spellings(texts) if counts is None else counts).withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
     has_skeleton = F.length(F.regexp_replace("skeleton", r"[^A-Za-z]", "")) >= 2
     clean = F.col("word").rlike(r"[^\x00-\x7f]") & ~F.col("word").rlike(r"\?|�|[\x{80}-\x{9f}]")
+    twin = F.struct("word", "n", "usual")
+    # the most frequent spelling and the one of the most usual pairs of characters, mostly the same
     twins = (
-        counts.filter(has_skeleton)
+        counts.filter(has_skeleton & clean)
         .groupBy("skeleton")
-        .agg(F.max_by("word", F.when(clean, F.struct(F.col("n"), -F.length("word"), F.col("word")))).alias("twin"), F.max(F.when(clean, F.col("n"))).alias("twin_n"))
-        .filter("twin is not null")
+        .agg(F.max_by(twin, F.struct(F.col("n"), -F.length("word"), F.col("word"))).alias("frequent"), F.max_by(twin, F.struct("usual", "n", "word")).alias("likely"))
+        .select("skeleton", F.explode(F.array_distinct(F.array("frequent", "likely"))).alias("t"))
     )
-    by_skeleton = counts.filter(has_skeleton).join(twins, "skeleton").filter("word <> twin and n <= twin_n")
-    by_skeleton = by_skeleton.select("word", "twin", _explained("word", "twin").alias("pairs"))
+    by_skeleton = counts.filter(has_skeleton).join(twins, "skeleton").filter("word <> t.word")
+    by_skeleton = by_skeleton.select(F.explode(_directed("word", "n", "usual", "t.word", "t.n", "t.usual")).alias("d")).select("d.*").distinct()
     three = F.length(F.regexp_replace("word", r"[\x00-\x7f]", "")) >= 3
     mixed = F.col("word").rlike(r"[A-Za-z]") & (F.length(F.regexp_replace("word", r"[\x00-\x7f]", "")) >= 2)
-    bare = counts.filter((~has_skeleton & (three | mixed) | F.col("word").rlike(r"[^\x00-\x7f]{6}")) & F.col("word").rlike(ODD) & ~F.col("word").contains(LOST)).select("word", "n", F.explode(_originals("word")).alias("o"))
-    known = counts.select(F.col("word").alias("twin"), F.col("n").alias("twin_n"))
-    by_word = bare.select("word", "n", "o.pair", F.col("o.original").alias("twin")).join(known, "twin").filter("twin_n > n and twin_n > 1")
+    bare = counts.filter((~has_skeleton & (three | mixed) | F.col("word").rlike(r"[^\x00-\x7f]{6}")) & F.col("word").rlike(ODD) & ~F.col("word").contains(LOST)).select("word", "n", "usual", F.explode(_originals("word")).alias("o"))
+    known = counts.select(F.col("word").alias("twin"), F.col("n").alias("twin_n"), F.col("usual").alias("twin_usual"))
+    more = F.col("twin_usual") - F.col("usual")
+    by_word = bare.select("word", "n", "usual", "o.pair", F.col("o.original").alias("twin")).join(known, "twin").filter((F.expr("twin_n > n and twin_n > 1") & (more >= -CLEAR)) | (more > CLEAR))
     by_word = by_word.groupBy("word", "twin").agg(F.collect_set("pair").alias("pairs"))
     return by_skeleton.unionByName(by_word)
 
 
+def undone(counts: DataFrame, singles: list[str]) -> DataFrame:
+    """``word``, ``twin``, ``pairs``: each word that a learned single-byte transformation turns into a clearly more usual one the corpus has."""
+
+    @F.pandas_udf(ORIGINALS)
+    def back(words: pd.Series) -> pd.Series:
+        return pd.Series([originals(w, singles) for w in words], dtype=object)
+
+    # a letter or two by themselves are words of many languages
+    long = F.col("word").rlike(r"[A-Za-z]{2}") | (F.length(F.regexp_replace("word", r"[\x00-\x7f]", "")) >= 3)
+    made = counts.filter(long & F.col("word").rlike(ODD) & ~F.col("word").contains(LOST)).select("word", "usual", F.explode(back("word")).alias("o"))
+    known = counts.select(F.col("word").alias("twin"), F.col("usual").alias("twin_usual"))
+    met = made.select("word", "usual", "o.pair", F.col("o.original").alias("twin")).join(known, "twin").filter(F.col("twin_usual") - F.col("usual") > CLEAR)
+    return met.groupBy("word", "twin").agg(F.collect_set("pair").alias("pairs"))
+
+
 def supported(pairs: DataFrame) -> list[str]:
     """The learned transformations, best first; at most as many rows as there are candidates reach the driver."""
     rows = pairs.select(F.explode("pairs").alias("pair")).groupBy("pair").count().collect()
@@ -240,7 +321,8 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     Transformations are learned from all texts; with ``only``, they are applied to those of its texts.
     """
     every = metadata_texts.select("domain", "field", "text")
-    pairs = cut(learn(every))
+    counts = cut(spellings(every))
+    pairs = cut(learn(every, counts))
     texts = only.select("domain", "field", "text") if only is not None else every
     learned = supported(pairs)
     utf8 = [p for p in learned if p.startswith("utf8")]
@@ -265,19 +347,23 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     by_run = odd.select("domain", "field", runs("text").alias("r")).select("domain", "field", "r.*").filter("kind is not null")
 
     # words with a twin: single-byte confusions that were learned, and holes where the twin has letters
-    @F.pandas_udf(T.StringType())
-    def word_kind(words: pd.Series, twins: pd.Series, explaining: pd.Series) -> pd.Series:
+    rank = {p: i for i, p in enumerate(ranked + wide)}
+
+    @F.pandas_udf(T.StructType([T.StructField("kind", T.StringType()), T.StructField("rank", T.IntegerType())]))
+    def word_kind(words: pd.Series, twins: pd.Series, explaining: pd.Series) -> pd.DataFrame:
         out = []
         for w, t, e in zip(words, twins, explaining, strict=True):
             if any(p in single for p in e):
-                out.append("respelt")
+                out.append(("respelt", min(rank[p] for p in e if p in single)))
             elif ("?" in w or LOST in w) and holes_match(w, t):
-                out.append("lost")
+                out.append(("lost", 0))
             else:
-                out.append(None)
-        return pd.Series(out, dtype=object)
+                out.append((None, 0))
+        return pd.DataFrame(out, columns=["kind", "rank"])
 
-    garbled = pairs.withColumn("kind", word_kind("word", "twin", "pairs")).filter("kind is not null").groupBy("word").agg(F.min_by("twin", "kind").alias("twin"), F.min("kind").alias("kind"))
+    pairs = pairs.unionByName(undone(counts, [p for p in ranked if p.split(">")[0] not in WIDE])) if ranked else pairs
+    ranks = pairs.withColumn("k", word_kind("word", "twin", "pairs")).filter("k.kind is not null").join(counts.select(F.col("word").alias("twin"), "n"), "twin", "left")
+    garbled = ranks.groupBy("word").agg(F.min_by("twin", F.struct("k.kind", "k.rank", -F.col("n"), "twin")).alias("twin"), F.min("k.kind").alias("kind"))
     hits = words_of(texts).join(garbled, "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
     return _join_found(texts, by_run, hits, lone_marks(texts))
 

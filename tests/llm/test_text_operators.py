@@ -132,6 +132,29 @@ def test_restoring(spark):
     assert mojibake.restore(spark.createDataFrame([], "domain string, field string, text string")).count() == 0
 
 
+def _shared(hot, clean, copies):
+    return [(f"h{i}", "description", hot) for i in range(copies)] + [(f"c{i}", "description", t) for i, t in enumerate(clean)]
+
+
+def test_hot_garbled_text_is_no_clean_twin(spark):
+    parts = ["ко", "ра", "ли", "пе", "то", "ва", "но", "ми", "са", "ду"]
+    words = [a + b + c for a in parts for b in parts for c in parts[:6]]
+    clean = [" ".join(words[i : i + 12]) for i in range(0, len(words), 12)]
+    text = " ".join(words[::40])
+    rows = spark.createDataFrame(_shared(text.encode("cp1251").decode("cp1252"), clean, 200), "domain string, field string, text string")
+    out = {r.domain: r.restored for r in mojibake.restore(rows).collect()}
+    assert set(out) == {f"h{i}" for i in range(200)} and out["h0"] == text
+
+
+def test_hot_garbled_letters_among_ascii_are_no_clean_twins(spark):
+    words = [f"{a}{u}{b}" for a in ("k", "gr", "m", "st", "w", "br") for u in "üöä" for b in ("hlen", "rmer", "fte", "nner", "sse")]
+    clean = [" ".join(words[i : i + 6]) for i in range(0, len(words), 6)]
+    text = " ".join(words[::9])
+    rows = spark.createDataFrame(_shared(text.encode("cp1252").decode("cp1251"), clean, 40), "domain string, field string, text string")
+    out = {r.domain: r.restored for r in mojibake.restore(rows).collect()}
+    assert set(out) == {f"h{i}" for i in range(40)} and out["h0"] == text
+
+
 # ---- quality -------------------------------------------------------------------------------------------------
 
 PROSE = "We ship the goods to the port every week. The family still owns the company, and they check every batch before it leaves."
