@@ -14,7 +14,9 @@ sentence; repeated rows give repeated marks; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import itertools
 import re
+from re import _casefix, _parser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -182,21 +184,6 @@ NOTICES = [
     r"(?:java ?script|जावास्क्रिप्ट|स्क्रिप्ट)[^।]{0,40}(?:चालू|सक्षम|सक्रिय|अक्षम|बंद|आवश्यक|ज़?रूर|अनुमति)|(?:सक्षम|चालू|सक्रिय)[^।]{0,30}(?:java ?script|स्क्रिप्ट)",
     r"(?:java ?script|جافا ?سكر[يب]+ت|البرامج النصية|النصوص البرمجية|السكربت)[^.]{0,40}(?:تفعيل|تشغيل|تمكين|معطل|مطلوب|معطلة|مفعل)|(?:تفعيل|تشغيل|تمكين|فعّ?ل|يتطلب|يرجى)[^.]{0,40}(?:java ?script|جافا|البرامج النصية|النصوص البرمجية|السكربت)",
 ]
-# Something of each rule's matches, to leave most sentences out without running the rules.
-_CUES = {
-    "placeholder": ["{", "[", "<", "%", "@@", "##", "__", "$", "&lt;", "(", "xxx", "your ", "your_", "here", "_"],
-    "phrase": "text tekst testo metin metni текст 文本 文字 नमूना टेक्स्ट पाठ यहा نص هنا here hier aquí aqui ici qui tutaj buraya здесь сюда 此处 这里 输入 填写 dummy filler nombre örnek deneme dolgu заглушк przykład zastęp".split(),
-    "default": "another untitled hello sample default placeholder dummy demo undefined null nan none tbd todo object test construction soon parked sale edit title theme welcome index n/a nil page site tagline description xxx asdf qwerty filler example caption test text enter add write provide foo bla".split(),
-    "notice": "script js browser cookies client-side skript скрипт сценари 脚本 स्क्रिप्ट betik komut skrypt نصية برمجية سكر جافا secuencias जावा".split(),
-    "error": (
-        "error|err |err:|code|status|http|400|401|403|404|405|408|410|429|50|found|gone|denied|forbidden|blocked|banned|suspend|unavailable|exist|time-|timed|timeout|took too|login|moved|removed|deleted|snag|oops|sorry|whoops|wrong|gateway|"
-        "request|fatal|exception|undefined|warning|notice|traceback|captcha|human|robot|firewall|ray id|return|back to|permission|refused|limit|unreachable|reach|available|expired|offline|sql|parse|syntax|stack|memory|failed|connect|"
-        "uncaught|unhandled|missing|automated|stopped|verif|wait|traffic|segment|too many|could n|couldn|cannot|can not|can't|can’t|not be|disabled|retry|unauthor|access|no such|is down|longer|"
-        "nicht|fehler|verweigert|gesperrt|wurde|no encontr|no existe|no disp|no se|no está|no pudo|no ha|denegad|prohibid|ha sido|fue |introuvable|n'exist|n’exist|non trouv|n'a pas|n’a pas|refus|interdit|erreur|indispon|a été|inaccess|non trov|non esist|non disp|non è|"
-        "è stat|inesist|irraggiung|negat|negad|vietat|nothing|moment|checking|render|respond|fault|rejected|closed|errore|não|foi |erro|niet|geweigerd|verboden|verplaatst|verwijderd|geblokkeerd|onbereik|fout|nie |niedost|odmow|zabron|zablok|przenies|usuni|nie znal|błąd|bulunam|bulunm|mevcut|kaldır|taşın|ulaşıl|engel|açılama|"
-        "yüklenem|redded|yasak|hata|не |удал|перемещ|недоступ|заблок|запрещ|закрыт|ошибк|不存在|未找到|无法|找不到|已|不可用|错误|出错|拒绝|被拒|禁止|नहीं|हटा|अवरुद्ध|अस्वीकृत|निषिद्ध|वर्जित|त्रुटि|غير|لم يتم|لا يمكن|تم |محظور|تعذر|رفض|مرفوض|ممنوع|خطأ"
-    ).split("|"),
-}
 # What a firm says about itself; such a sentence is no message of a program.
 BUSINESS = re.compile(
     r"\b(?:we|our team|our engineers) (?:build|make|develop|sell|supply|write|design|teach|offer|ship|print|train)\b|\b(?:dashboards?|portals? for|developers?|courses?|training|tutorial|series|grade|pumps?|agency|prints?|printing|replaces?|explains?|screening)\b|\bshipping papers\b",
@@ -223,6 +210,89 @@ ERROR = _any(ERRORS)
 NOTICE = _any(NOTICES)
 
 
+# ---- what every match of a rule must hold, to leave most sentences out without running the rules -------------
+
+# Letters that match one another where case is ignored, though lower case keeps them apart (dotless i, long s), as one of them.
+_ALIKE = {ord(x): chr(min(c, *others)) for c, others in _casefix._EXTRA_CASES.items() for x in map(chr, (c, *others))} | {0x130: "i"}
+_UNLIKE = re.compile("[" + "".join(map(chr, _ALIKE)) + "]")
+
+
+def folded(text: str) -> str:
+    """``text`` in lower case, with letters that match one another where case is ignored written alike."""
+    if text.isascii():
+        return text.lower()
+    low = text.replace("\u0130", "i").lower()
+    return low.translate(_ALIKE) if _UNLIKE.search(low) else low
+
+
+def _least(strings: set[str]) -> set[str]:
+    """``strings`` without those that hold another."""
+    return {s for s in strings if not any(o != s and o in s for o in strings)}
+
+
+def _exact(op, arg) -> set[str] | None:
+    """All strings a part of a rule matches, where they are few."""
+    if op is _parser.LITERAL:
+        return {folded(chr(arg))}
+    if op in (_parser.AT, _parser.ASSERT, _parser.ASSERT_NOT):
+        return {""}
+    if op is _parser.IN and len(arg) <= 4 and all(o is _parser.LITERAL for o, _ in arg):
+        return {folded(chr(c)) for _, c in arg}
+    if op is _parser.SUBPATTERN:
+        return _exact_all(arg[3])
+    if op is _parser.BRANCH:
+        each = [_exact_all(x) for x in arg[1]]
+        return set().union(*each) if None not in each else None
+    if op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and arg[1] in (1, 2):
+        once = _exact_all(arg[2])
+        if once is not None:
+            return set().union(*[{"".join(x) for x in itertools.product(once, repeat=n)} for n in range(arg[0], arg[1] + 1)])
+    return None
+
+
+def _exact_all(parts) -> set[str] | None:
+    out = {""}
+    for op, arg in parts:
+        one = _exact(op, arg)
+        if one is None or len(one) * len(out) > 64:
+            return None
+        out = {x + y for x in out for y in one}
+    return out
+
+
+def needed(parts) -> set[str] | None:
+    """Strings of which every match of a parsed rule holds one; None where there are none."""
+    choices, run = [], {""}
+    for op, arg in [*parts, (None, None)]:
+        one = None if op is None else _exact(op, arg)
+        if one is not None and len(one) * len(run) <= 64:
+            run = {x + y for x in run for y in one}
+            continue
+        choices.append(_least(run))
+        run = one or {""}
+        if one is not None or op is None:
+            continue
+        if op is _parser.SUBPATTERN:
+            choices.append(needed(arg[3]))
+        elif op is _parser.BRANCH:
+            each = [needed(x) for x in arg[1]]
+            choices.append(_least(set().union(*each)) if None not in each else None)
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and arg[0] > 0:
+            once = _exact_all(arg[2])
+            choices.append({"".join(x) for x in itertools.product(once, repeat=arg[0])} if once and arg[0] < 4 and len(once) < 5 else needed(arg[2]))
+    choices = [c for c in choices if c and "" not in c]
+    # the longest strings leave out most, signs more than letters
+    return max(choices, key=lambda c: (min(len(x.strip()) + 3 * (not x.replace(" ", "a").isalnum()) for x in c), -len(c)), default=None)
+
+
+def _cues(patterns: list[str]) -> list[str]:
+    each = [needed(_parser.parse(p, re.I)) for p in patterns]
+    return sorted(_least(set().union(*each)), key=lambda x: (len(x), x)) if None not in each else [""]
+
+
+_CUES = {"placeholder": _cues(PLACEHOLDERS), "phrase": _cues(FILLER_PHRASES), "default": _cues(DEFAULTS), "notice": _cues(NOTICES), "error": _cues(ERRORS)}
+
+
 def filler_density(text: str) -> bool:
     """Whether a run of at least three words is mostly filler words, with a sure one or nothing else in it."""
     words = [w.lower() for w in WORD.findall(text)]
@@ -250,7 +320,7 @@ def residue_kind(text: str | None) -> str | None:
     if not text or not text.strip():
         return None
     bare = CODE.sub(" ", text) if "`" in text or "<" in text else text
-    low = bare.lower()
+    low = folded(bare)
     if _cued("placeholder", low):
         for p in (PLACEHOLDER, PLACEHOLDER_CASED):
             for m in p.finditer(bare):
@@ -258,7 +328,7 @@ def residue_kind(text: str | None) -> str | None:
                     return "placeholder"
     if _cued("phrase", low) and PHRASE.search(bare):
         return "filler"
-    default, filler = _cued("default", low), any(w in low for w in ("ipsum", "dolor", "amet", "elit", "lorem", "tempus", "magna", "lectus", "nulla", "aenean", "velit", "sit ", "sed "))
+    default, filler = _cued("default", low), not FILLER_WORDS.isdisjoint(WORD.findall(low))
     if default or filler:
         for s in [bare, *SENTENCE.split(bare)]:
             if not s or not s.strip():
@@ -270,7 +340,7 @@ def residue_kind(text: str | None) -> str | None:
     notice, error = _cued("notice", low), _cued("error", low)
     if notice or error:
         for s in WHOLE.split(bare):
-            own = s.lower()
+            own = folded(s)
             n, e = notice and _cued("notice", own), error and _cued("error", own)
             if not (n or e) or BUSINESS.search(s):
                 continue

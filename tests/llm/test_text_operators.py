@@ -80,6 +80,24 @@ def test_business_text_is_not_residue(text):
     assert residue.residue_kind(text) is None
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["You are not authorized to view this page.", "You are not allowed to view this.", "Internal server failure", "Internal server problem", "This page is unable to load", "The page fails to load", "Replace this text", "Insert this title",
+     "My Store", "My Blog", "My Shop", "New document", "Platzhalter", "占位符", "在此插入", "在此添加", "SİTE UNDER CONSTRUCTION", "officia deserunt mollit anim"],
+)
+def test_prefilter_keeps_what_the_rules_match(text, monkeypatch):
+    kept = residue.residue_kind(text)
+    monkeypatch.setattr(residue, "_cued", lambda rule, low: True)
+    assert kept == residue.residue_kind(text) is not None
+
+
+def test_each_rule_tells_what_its_matches_hold():
+    needed = lambda p: residue.needed(residue._parser.parse(p, residue.re.I))
+    assert needed("(?:page|site)s? is (?:gone|missing)") == {"page is gone", "page is missing", "pages is gone", "pages is missing", "site is gone", "site is missing", "sites is gone", "sites is missing"}
+    assert needed(r"\w+(?:a|b)?") is None and needed("x{3,}[ _-]a?") == {"xxx"}
+    assert all("" not in cues and " " not in cues for cues in residue._CUES.values())
+
+
 def test_residue_fields(spark):
     df = spark.createDataFrame([("a", None, "{{x}}", None), ("a", None, "{{x}}", ""), ("b", None, "Fine goods", "x " * 50000 + ". [[name]]")], META)
     assert sorted(map(tuple, residue.residue_fields(df).select("domain", "field").collect())) == [("a", "title"), ("b", "description")]
