@@ -1,10 +1,12 @@
 """Variant spellings of the names of people and companies, linked within a domain.
 
-Each distinct name of a domain becomes a vector of character bigrams and trigrams weighted by their rarity over all names.
-A sparse cosine join finds the pairs at or above ``LEAST_COSINE``: grams are ordered by rarity, a vector is
-indexed under the shortest prefix of its grams whose rest is too light to reach the threshold alone, and vectors
-of one domain that meet under a gram are candidates. This prefix bound loses no pair, so no cap on partners is
-needed, and because the key holds domain and gram, a domain with a third of all rows is spread over its grams.
+Names of one domain are candidates where they share a key: a family name, or a half of one, in any order the words may
+be read in, without up to one or two characters, so that names as many slips apart meet; the same words reordered or
+run together; for companies the first word or the whole name without one character. Every pair whose score is above 0
+shares one, so none is lost and no cap on partners is needed, and because the key holds domain and name, a domain with
+a third of all rows is spread over its names. (``candidates`` is a sparse cosine join of weighted character n-grams with
+a prefix bound that is lossless at its threshold only; a nickname with a slip in the family name can lie below, so
+linking doesn't use it.)
 Candidates are scored by how the parsed names agree (given names with nicknames, initials and transliterations;
 family names up to one slip, reordered or halved), lowered by contradictions. Links at or above ``LEAST_SCORE``
 form components, by label propagation with checkpoints, and each component is grouped by average linkage.
@@ -265,6 +267,50 @@ def pair_score(name_a: str, name_b: str, common: frozenset) -> float:
     return person_score((wa, sa), (wb, sb), common)
 
 
+def without(word: str, most: int) -> set[str]:
+    """``word`` and what is left of it without up to ``most`` characters; two words so many slips apart share one of these."""
+    out = level = {word}
+    for _ in range(most):
+        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
+        out = out | level
+    return out
+
+
+def meeting_keys(name: str) -> list[str]:
+    """Keys of which two names share one wherever ``pair_score`` is above 0, whatever given names are common.
+
+    Families within the slips ``family_score`` allows, or with a half alike, in every order the words may be read in;
+    the same words in another order or run together; companies whose first words or whole names are a slip apart.
+    """
+    kind, words, _, _ = parse(name)
+    if not words:
+        return []
+    joined = "".join(words)
+    if kind == "company":
+        return sorted({"c" + x for x in without(joined, 1)} | {"w" + x for x in without(words[0], 1)})
+    keys = {"j" + joined, "s" + " ".join(sorted(words))}
+    for w in (words, words[1:] + words[:1]) if len(words) > 1 else ():
+        more = [x for x in w[1:-1] if len(x) > 1]
+        for family in (w[-1], f"{more[0]}-{w[-1]}") if len(more) == 1 else (w[-1],):
+            whole = family.replace("-", "")
+            # one with seven letters can be two slips from another with seven
+            keys |= {"f" + x for x in without(whole, 2 if len(whole) >= 7 else 1)}
+            if "-" in family:
+                keys |= {"f" + x for half in family.split("-") for x in without(half, 1)}
+    return sorted(keys)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _meeting(names: pd.Series) -> pd.Series:
+    return pd.Series([meeting_keys(n) for n in names], dtype=object)
+
+
+def meetings(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes (``node``, ``domain``, ``name``) of one domain that share a key; equal hashes of keys only add pairs."""
+    keys = cut(nodes.select("domain", "node", F.explode(_meeting("name")).alias("key")).select(F.xxhash64("domain", "key").alias("key"), "node").distinct())
+    return keys.withColumnRenamed("node", "a").join(keys.withColumnRenamed("node", "b"), "key").filter("a < b").select("a", "b").distinct()
+
+
 NORM = T.StructType([T.StructField("norm", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType())), T.StructField("given", T.StringType())])
 
 
@@ -402,7 +448,7 @@ def clusters(people: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     face = nodes.select("node", F.struct("name", "links", "phones", "emails").alias("face"))
-    pairs = candidates(nodes).select("a", "b")
+    pairs = meetings(nodes)
     pairs = pairs.join(face.select(F.col("node").alias("a"), F.col("face").alias("fa")), "a").join(face.select(F.col("node").alias("b"), F.col("face").alias("fb")), "b")
     edges = cut(pairs.select("a", "b", score("fa", "fb").alias("s")).filter(F.col("s") >= LEAST_SCORE))
     parts = components(edges)

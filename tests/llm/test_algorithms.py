@@ -79,6 +79,27 @@ def test_candidates_lose_no_pair(spark):
     assert got == brute
 
 
+def test_nickname_and_slip_are_linked(spark):
+    pairs = [("bobby lujnelli", "robert r lunjelli"), ("kit quirben", "christopher s quinben"), ("noor n wolpiffi", "nur woleiffi")]
+    people = [(2 * i + k, f"d{i}", n) for i, p in enumerate(pairs) for k, n in enumerate(p)]
+    # their shared parts are common, the others rare, so their cosine is low
+    others = [f"{g} {f}" for g in ("lunja", "elli", "lun", "quia", "ben", "wol", "iffi", "nora", "wolei", "belli") for f in ("lumelli", "luzelli", "quimen", "quiroben", "wolbiffi", "wolgiffi", "elliben", "wolquiffi")]
+    people += [(100 + i, f"o{i}", n) for i, n in enumerate(others * 8)]
+    df = spark.createDataFrame(people, "id long, domain string, name string").selectExpr("*", "cast(null as string) title", "cast(null as string) email", "cast(null as string) phone", "cast(null as string) linkedin")
+    assert {(0, 1), (2, 3), (4, 5)} <= set(map(tuple, names.linked_pairs(df).collect()))
+
+
+def test_every_pair_the_score_accepts_meets():
+    given = ["robert", "bobby", "b", "noor", "nur", "jose luis", "pepe", "x m"]
+    family = ["lunjelli", "lujnelli", "wolpiffi", "woleiffi", "firhini-firho", "firho", "wolpifife", "lee", "le"]
+    spelt = [x for g in given for f in family for x in (f"{g} {f}", f"{f} {g}", f"{f}, {g}")] + ["acme foods ltd", "acmefoods ltd", "acne foods co", "acme food co", "acmi foodz ltd"]
+    for common in (frozenset(), frozenset(given)):
+        for i, a in enumerate(spelt):
+            for b in spelt[:i]:
+                if names.pair_score(a, b, common) > 0:
+                    assert set(names.meeting_keys(a)) & set(names.meeting_keys(b)), (a, b)
+
+
 def test_average_linkage_keeps_contradictions_apart():
     out = names.average_linkage([(1, 2, 0.9), (3, 4, 0.9), (2, 3, 0.65)])
     assert out[1] == out[2] != out[3] == out[4]
