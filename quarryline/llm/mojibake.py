@@ -365,7 +365,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     ranks = pairs.withColumn("k", word_kind("word", "twin", "pairs")).filter("k.kind is not null").join(counts.select(F.col("word").alias("twin"), "n"), "twin", "left")
     garbled = ranks.groupBy("word").agg(F.min_by("twin", F.struct("k.kind", "k.rank", -F.col("n"), "twin")).alias("twin"), F.min("k.kind").alias("kind"))
     hits = words_of(texts).join(garbled, "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
-    return _join_found(texts, by_run, hits, lone_marks(texts))
+    return _join_found(texts, by_run, hits, lone_marks(texts, every))
 
 
 def holes_match(word: str, twin: str) -> bool:
@@ -373,22 +373,27 @@ def holes_match(word: str, twin: str) -> bool:
     return HOLE.split(word) == RUN.split(twin)
 
 
-def lone_marks(texts: DataFrame) -> DataFrame:
-    """``domain``, ``field`` of texts whose standing-alone question marks took the place of other characters.
-
-    A token of two or more marks by itself, or one mark between two words between which other texts have a
-    sign outside ASCII.
-    """
+def _around(texts: DataFrame) -> DataFrame:
+    """``domain``, ``field``, ``token``, ``before``, ``after`` of the tokens of texts with marks or signs."""
     tokens = texts.filter(F.col("text").rlike(r"\?|" + ODD)).select("domain", "field", F.split("text", r"[ \t\r\n]+").alias("t"))
     at = tokens.select("domain", "field", "t", F.explode(F.sequence(F.lit(1), F.size("t"))).alias("i"))
     token = F.element_at("t", F.col("i"))
-    around = at.select(
+    return at.select(
         "domain", "field", token.alias("token"),
         F.when(F.col("i") > 1, F.element_at("t", F.greatest(F.col("i") - 1, F.lit(1)))).alias("before"),
         F.when(F.col("i") < F.size("t"), F.element_at("t", F.least(F.col("i") + 1, F.size("t")))).alias("after"),
     )
+
+
+def lone_marks(texts: DataFrame, every: DataFrame) -> DataFrame:
+    """``domain``, ``field`` of texts whose standing-alone question marks took the place of other characters.
+
+    A token of two or more marks by itself, or one mark between two words between which other texts, of ``every``, have a
+    sign outside ASCII.
+    """
+    around = _around(texts)
     many = around.filter(F.col("token").rlike(r"^[.,;:()\"'\-]*\?[?.,;:()\"'\-]*\?[?.,;:()\"'\-0-9]*$|\?{4,}|\?\?+[0-9A-Za-z]|^[^A-Za-z?]*\?{2,}[^A-Za-z]*\?")).select("domain", "field")
-    signs = around.filter(F.col("token").rlike(r"^[^\x00-\x7f]$")).select("before", "after").distinct()
+    signs = _around(every.filter(F.col("text").rlike(ODD))).filter(F.col("token").rlike(r"^[^\x00-\x7f]$")).select("before", "after").distinct()
     one = around.filter("token = '?'")
     between = one.join(signs, "after", "left_semi").select("domain", "field")
     return many.unionByName(between).distinct()

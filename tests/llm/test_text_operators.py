@@ -150,6 +150,12 @@ def test_restoring(spark):
     assert mojibake.restore(spark.createDataFrame([], "domain string, field string, text string")).count() == 0
 
 
+def test_signs_of_all_texts_tell_lone_marks(spark):
+    rows = spark.createDataFrame([("a", "title", "Port – Trade"), ("b", "description", "Harbor ? Trade")], "domain string, field string, text string")
+    out = mojibake.restore(rows, rows.filter("field = 'description'")).collect()
+    assert [(r.domain, r.field, r.kind) for r in out] == [("b", "description", "lost")]
+
+
 def _shared(hot, clean, copies):
     return [(f"h{i}", "description", hot) for i in range(copies)] + [(f"c{i}", "description", t) for i, t in enumerate(clean)]
 
