@@ -11,9 +11,9 @@ reported but not scored, as short texts and languages with long words are no jun
 
 The scores of each language, and of all texts, are split in two by the threshold with the largest variance between
 the two parts (an exact histogram of the scores). A text whose scores are both below the mean of the lower parts is
-prose; one whose scores are both past the middle between the split and the mean of the upper parts is junk. Between
-them the tails can't tell, as where lists are common, or a language has few texts, and an exact check follows: what
-share of the text stands in sentences, and whether a single sentence stands among other lines.
+prose; one whose scores are both past the mean of the upper parts is junk. Between them the tails can't tell, as
+where lists are common or a language has few texts, and an exact check follows: what share of the text stands in
+sentences, and whether a single sentence stands among other lines.
 
 Copies of a text are measured where they stand but ranked, scored and judged once. Values and texts that hold a
 large share of the rows are joined by broadcast (there are at most ``1 / HOT`` of a group), the others by shuffle,
@@ -21,7 +21,7 @@ so no task gets the rows of one value or text. What reaches the driver is one ro
 
 Defined results: null and blank texts have no words, all ratios 0, and are no prose; very long texts are
 measured whole; repeated rows and ties have the same rank; a language with one document ranks it 1; an empty
-table gives an empty result; other columns pass through; a column named like a result is replaced.
+table gives an empty result; columns other than the key and the text are not read.
 """
 
 from __future__ import annotations
@@ -233,7 +233,7 @@ def splits(scores: DataFrame) -> DataFrame:
     sides = histogram.withColumns({"n0": F.sum("n").over(upto), "s0": F.sum(mass).over(upto), "all_n": F.sum("n").over(group), "all_s": F.sum(mass).over(group)}).filter("n0 < all_n")
     mean0, mean1 = F.col("s0") / F.col("n0"), (F.col("all_s") - F.col("s0")) / (F.col("all_n") - F.col("n0"))
     between = F.col("n0") * (F.col("all_n") - F.col("n0")) * (mean0 - mean1) * (mean0 - mean1)
-    best = sides.groupBy("lang").agg(F.max_by(F.struct(mean0.alias("low"), ((F.col("score") + mean1) / 2).alias("high")), F.struct(between, -F.col("score"))).alias("b"))
+    best = sides.groupBy("lang").agg(F.max_by(F.struct(mean0.alias("low"), mean1.alias("high")), F.struct(between, -F.col("score"))).alias("b"))
     return best.select("lang", "b.low", "b.high")
 
 
