@@ -1,27 +1,32 @@
 """Variant spellings of the names of people and companies, linked within a domain.
 
-Names of one domain are candidates where they share a key: a family name, or a half of one, in any order the words may
-be read in, without up to one or two characters, so that names as many slips apart meet; the same words reordered or
-run together; for companies the first word or the whole name without one character. Every pair whose score is above 0
-shares one, so none is lost and no cap on partners is needed, and because the key holds domain and name, a domain with
-a third of all rows is spread over its names. (``candidates`` is a sparse cosine join of weighted character n-grams with
-a prefix bound that is lossless at its threshold only; a nickname with a slip in the family name can lie below, so
-linking doesn't use it.)
-Candidates are scored by how the parsed names agree (given names with nicknames, initials and transliterations;
-family names up to one slip, reordered or halved), lowered by contradictions. Links at or above ``LEAST_SCORE``
-form components, by label propagation with checkpoints, and each component is grouped by average linkage.
+Names are normalized (look-alikes, titles, legal forms, order around a comma) and become vectors of weighted
+character n-grams: bigrams, trigrams and unordered pairs of letters at most two apart, of each word, customary short
+forms of given names written out and initials left out. A gram weighs by its rarity, from counts over all names; grams
+are hashed to ``BUCKETS`` places, so that the weights have one size however many names there are.
+
+A sparse product of the vectors of a domain with themselves gives the cosines. Domains are cut into chunks of about
+``CHUNK`` names and each pair of chunks is a block, so a domain with a third of all rows is many blocks of bounded
+size; small domains are multiplied many at a time. Every pair at or above ``LEAST_COSINE`` is kept: the threshold
+alone bounds the partners of a name (``top`` keeps the best n of each, with ties, where a caller wants no more). An
+exact check of each such pair follows, on how the words agree as given and family names, since relatives share most of
+their grams. Pairs that pass are linked with their cosine and grouped by average linkage, in which pairs without a link
+count as 0: in each round all clusters that are each other's nearest merge, which gives what merging one by one gives,
+and no component is brought into one task.
 
 Defined results: null and empty names link with nothing; names that differ only in case, spaces or look-alike
-characters are one spelling; names equal as stored share a cluster; very long names are compared whole; an empty
-table gives an empty result; other columns are not read.
+characters are one spelling; names equal as stored share a cluster; names without letters only link where equal; very
+long names are compared whole; ties of nearest clusters go to the smaller label; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
-import heapq
 import re
 import unicodedata
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,11 +35,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarryline.llm.lookalikes import canonical
+from quarryline.llm.spread import broadcast_checked, join_spread
 from quarryline.session import cut
 
-LEAST_COSINE = 0.3
-LEAST_SCORE = 0.6
-AVERAGE = 0.4
+LEAST_COSINE = 0.25
+LEAST_AGREEMENT = 0.6
+AVERAGE = 0.2
+BUCKETS = 1 << 16
+CHUNK = 1000
+#: So many cells of products are worked on at once.
+CELLS = 4_000_000
+#: A given name is common if at least one in so many spellings has it; so there are at most so many.
+COMMON = 2500
 
 # Forms of address and degrees that are no part of a name.
 TITLES = frozenset("mr mrs ms miss mx dr prof eng shri smt sri sir madam mme herr frau ing adv capt er ca hon rev mba phd md jr sr esq cpa bsc msc ma ba dba pmp prof".split())
@@ -239,21 +251,10 @@ def person_score(a: tuple, b: tuple, common: frozenset) -> float:
     return best
 
 
-def contacts_agree(a: tuple, b: tuple) -> float:
-    """1 for a shared profile, phone or own address, -1 for profiles of different people, else 0."""
-    (la, pa, ea), (lb, pb, eb) = a, b
-    if la & lb:
-        return 1.0
-    if la and lb:
-        return -1.0
-    if pa & pb or ea & eb:
-        return 0.5
-    return 0.0
-
-
-def pair_score(name_a: str, name_b: str, common: frozenset) -> float:
-    ka, wa, sa, _ = parse(name_a)
-    kb, wb, sb, _ = parse(name_b)
+def agreement(a: tuple[str, tuple[str, ...], bool], b: tuple[str, tuple[str, ...], bool], common: frozenset) -> float:
+    """How well two names (kind, words, whether the family name is known to be last) can be of one person or company."""
+    ka, wa, sa = a
+    kb, wb, sb = b
     if not wa or not wb or ka != kb:
         return 0.0
     if wa == wb:
@@ -267,213 +268,237 @@ def pair_score(name_a: str, name_b: str, common: frozenset) -> float:
     return person_score((wa, sa), (wb, sb), common)
 
 
-def without(word: str, most: int) -> set[str]:
-    """``word`` and what is left of it without up to ``most`` characters; two words so many slips apart share one of these."""
-    out = level = {word}
-    for _ in range(most):
-        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
-        out = out | level
-    return out
-
+# ---- vectors and their cosines -------------------------------------------------------------------------------
 
-def meeting_keys(name: str) -> list[str]:
-    """Keys of which two names share one wherever ``pair_score`` is above 0, whatever given names are common.
 
-    Families within the slips ``family_score`` allows, or with a half alike, in every order the words may be read in;
-    the same words in another order or run together; companies whose first words or whole names are a slip apart.
-    """
-    kind, words, _, _ = parse(name)
-    if not words:
-        return []
-    joined = "".join(words)
-    if kind == "company":
-        return sorted({"c" + x for x in without(joined, 1)} | {"w" + x for x in without(words[0], 1)})
-    keys = {"j" + joined, "s" + " ".join(sorted(words))}
-    for w in (words, words[1:] + words[:1]) if len(words) > 1 else ():
-        more = [x for x in w[1:-1] if len(x) > 1]
-        for family in (w[-1], f"{more[0]}-{w[-1]}") if len(more) == 1 else (w[-1],):
-            whole = family.replace("-", "")
-            # one with seven letters can be two slips from another with seven
-            keys |= {"f" + x for x in without(whole, 2 if len(whole) >= 7 else 1)}
-            if "-" in family:
-                keys |= {"f" + x for half in family.split("-") for x in without(half, 1)}
-    return sorted(keys)
+def grams(words: list[str]) -> set[str]:
+    """The n-grams of a name's words."""
+    words = [w for x in words for w in x.split("-") if w]
+    if len(words) > 1:
+        words = [w for w in words if len(w) > 1] or words
+    out: set[str] = set()
+    for w in words:
+        for form in FULL.get(w, (w,)):
+            p = f" {form} "
+            out.update(p[i : i + n] for n in (2, 3) for i in range(max(1, len(p) - n + 1)))
+            out.update("~" + "".join(sorted((p[i], p[i + k]))) for k in (1, 2) for i in range(len(p) - k))
+    return out
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _meeting(names: pd.Series) -> pd.Series:
-    return pd.Series([meeting_keys(n) for n in names], dtype=object)
+@functools.lru_cache(100_000)
+def _word_places(word: str) -> np.ndarray:
+    return np.array(sorted({zlib.crc32(g.encode()) % BUCKETS for g in grams([word])}), dtype=np.int64)
 
 
-def meetings(nodes: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of nodes (``node``, ``domain``, ``name``) of one domain that share a key; equal hashes of keys only add pairs."""
-    keys = cut(nodes.select("domain", "node", F.explode(_meeting("name")).alias("key")).select(F.xxhash64("domain", "key").alias("key"), "node").distinct())
-    return keys.withColumnRenamed("node", "a").join(keys.withColumnRenamed("node", "b"), "key").filter("a < b").select("a", "b").distinct()
+def places(norm: str) -> np.ndarray:
+    """The places of the n-grams of a normalized name."""
+    words = norm[2:].replace("-", " ").split()
+    if len(words) > 1:
+        words = [w for w in words if len(w) > 1] or words
+    if not words:
+        return np.empty(0, dtype=np.int64)
+    return _word_places(words[0]) if len(words) == 1 else np.unique(np.concatenate([_word_places(w) for w in words]))
 
 
-NORM = T.StructType([T.StructField("norm", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType())), T.StructField("given", T.StringType())])
+NORM = T.StructType([T.StructField("norm", T.StringType()), T.StructField("sure", T.BooleanType()), T.StructField("given", T.StringType())])
 
 
 @F.pandas_udf(NORM)
 def _norm(names: pd.Series) -> pd.DataFrame:
     rows = []
     for n in names:
-        kind, words, _, _ = parse(n)
-        text = " ".join(sorted(words))
-        grams = sorted({p[i : i + n] for w in re.split(r"[\s-]", text) if w for p in (f" {w} ",) for n in (2, 3) for i in range(max(1, len(p) - n + 1))})
-        rows.append((f"{kind[0]}:{' '.join(words)}", grams, words[0] if kind == "person" and len(words) > 1 and len(words[0]) > 2 else None))
-    return pd.DataFrame(rows, columns=["norm", "grams", "given"])
-
+        kind, words, sure, _ = parse(n)
+        given = words[0] if kind == "person" and len(words) > 1 and len(words[0]) > 2 else None
+        rows.append((f"{kind[0]}:{' '.join(words)}", sure, given))
+    return pd.DataFrame(rows, columns=["norm", "sure", "given"])
+
+
+def _count_places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for frame in frames:
+        for n in frame["norm"]:
+            total[places(n)] += 1
+    at = np.flatnonzero(total)
+    yield pd.DataFrame({"place": at, "n": total[at]})
+
+
+def rarity(nodes: DataFrame) -> np.ndarray:
+    """The weight of each place by the number of names of ``nodes`` that have a gram there; ``BUCKETS`` numbers."""
+    counted = nodes.select("norm").mapInPandas(_count_places, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    held = np.zeros(BUCKETS)
+    for r in counted:
+        held[r["place"]] = r["n"]
+    return np.log(1 + nodes.count() / np.maximum(held, 1)).astype(np.float32)
+
+
+def common_given(nodes: DataFrame) -> frozenset:
+    """The given names that at least one in ``COMMON`` of the names with one has; at most ``COMMON`` reach the driver."""
+    given = nodes.filter("given is not null")
+    total = given.count()
+    rows = given.groupBy("given").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * COMMON >= total).collect()
+    return frozenset(r["given"] for r in rows)
 
-def common_given(spellings: DataFrame, least: int = 8, most: int = 5000) -> frozenset:
-    """Given names that people of many domains bear: at least ``least`` domains and one in 5000 of the spellings.
 
-    At most 5000 given names can reach that share, so what comes to the driver is bounded.
+def products(vectors: list[np.ndarray], blocks: np.ndarray, weights: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers ``i`` < ``j`` and cosines of the pairs of rows of one block (``blocks`` is sorted) with at least ``least``."""
+    sizes = np.bincount(blocks)
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    offset = np.concatenate([[0], np.cumsum(sizes * sizes)])
+    counts = np.array([len(v) for v in vectors])
+    row = np.repeat(np.arange(len(vectors)), counts)
+    place = np.concatenate(vectors) if len(vectors) else np.empty(0, dtype=np.int64)
+    w = weights[place].astype(np.float64)
+    norm = np.sqrt(np.bincount(row, w * w, minlength=len(vectors)))
+    w /= np.maximum(norm, 1e-9)[row]
+    key = blocks[row] * BUCKETS + place
+    order = np.lexsort((row, key))
+    key, row, w = key[order], row[order], w[order]
+    # each entry meets those after it in its run of equal keys
+    end = np.searchsorted(key, key, side="right")
+    meets = end - np.arange(len(key)) - 1
+    sums = np.zeros(offset[-1])
+    upto = np.cumsum(meets)
+    start = 0
+    while start < len(key):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CELLS, side="right")))
+        left = np.repeat(np.arange(start, stop), meets[start:stop])
+        if len(left):
+            ahead = np.arange(len(left)) - np.repeat(np.cumsum(meets[start:stop]) - meets[start:stop], meets[start:stop])
+            right = left + 1 + ahead
+            b = blocks[row[left]]
+            slot = offset[b] + (row[left] - first[b]) * sizes[b] + row[right] - first[b]
+            sums += np.bincount(slot, w[left] * w[right], minlength=len(sums))
+        start = stop
+    hit = np.flatnonzero(sums >= least - 1e-9)
+    b = np.searchsorted(offset, hit, side="right") - 1
+    inside = hit - offset[b]
+    return first[b] + inside // sizes[b], first[b] + inside % sizes[b], np.round(sums[hit], 9)
+
+
+def with_blocks(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``nodes`` (``domain``, ``norm``) with ``lo``, ``hi``, ``part``: once for each pair of chunks of its domain that has its own, ``part``."""
+    many = nodes.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk)
+    chunks = many.select("domain", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    sized = nodes.join(broadcast_checked(chunks), "domain", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    part = F.pmod(F.xxhash64("norm"), F.col("chunks")).cast("int")
+    each = sized.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return each.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).drop("other", "chunks")
+
+
+LINKS = "domain string, a string, b string, cosine double"
+
+
+def similar(nodes: DataFrame, weights: np.ndarray, common: frozenset | None, least: float = LEAST_COSINE, chunk: int = CHUNK, top: int | None = None) -> DataFrame:
+    """Pairs ``a`` < ``b`` of names (``domain``, ``norm``, ``sure``) of one domain with a cosine of at least ``least``.
+
+    With ``common``, only those that the exact check accepts. With ``top``, only those among the ``top`` best of ``a`` or
+    of ``b``, ties included.
     """
-    total = spellings.select(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    rows = spellings.filter("given is not null").groupBy("given").agg(F.countDistinct("domain").alias("n")).filter(F.col("n") >= max(least, total // 5000)).limit(most).collect()
-    return frozenset(r["given"] for r in rows)
 
+    def product(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []  # rows of whole blocks and of one that may go on
+        cells = last = 0
+
+        def work(rows: list[tuple]) -> pd.DataFrame:
+            keys = [r[:3] for r in rows]
+            new = np.array([1] + [int(x != y) for x, y in zip(keys[1:], keys, strict=False)])
+            i, j, cosine = products([places(r[4]) for r in rows], np.cumsum(new) - 1, weights, least)
+            out = []
+            for x, y, c in zip(i.tolist(), j.tolist(), cosine.tolist(), strict=True):
+                a, b = rows[x], rows[y]
+                # a pair of one chunk is the matter of that chunk's own block
+                if a[3] == b[3] and a[1] != a[2]:
+                    continue
+                if common is None or agreement((_KINDS[a[4][0]], _words(a[4]), a[5]), (_KINDS[b[4][0]], _words(b[4]), b[5]), common) >= LEAST_AGREEMENT:
+                    out.append((a[0], min(a[4], b[4]), max(a[4], b[4]), c))
+            return pd.DataFrame(out, columns=["domain", "a", "b", "cosine"])
+
+        for frame in frames:
+            for r in frame[["domain", "lo", "hi", "part", "norm", "sure"]].itertuples(index=False, name=None):
+                if held and held[-1][:3] != r[:3]:
+                    size = len(held) - last
+                    cells, last = cells + size * size, len(held)
+                    if cells >= CELLS:
+                        yield work(held)
+                        held, cells, last = [], 0, 0
+                held.append(r)
+        if held:
+            yield work(held)
+
+    blocks = with_blocks(nodes.select("domain", "norm", "sure"), chunk)
+    order = ["domain", "lo", "hi"]
+    pairs = blocks.repartition(*order).sortWithinPartitions(*order, "norm").mapInPandas(product, LINKS)
+    if top is None:
+        return pairs
+    sides = pairs.select("*", F.col("a").alias("name")).unionByName(pairs.select("*", F.col("b").alias("name")))
+    ranked = sides.groupBy("domain", "name").agg(F.sort_array(F.collect_list("cosine"), asc=False).alias("c"))  # as many as the partners of one name
+    worst = ranked.select("domain", "name", F.when(F.size("c") > top, F.element_at("c", top)).otherwise(F.lit(0.0)).alias("worst"))
+    near = sides.join(worst, ["domain", "name"]).filter(F.col("cosine") >= F.col("worst"))
+    return near.select("domain", "a", "b", "cosine").distinct()
+
+
+_KINDS = {"p": "person", "c": "company"}
 
-def candidates(nodes: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """Pairs ``a``, ``b`` of nodes (``node``, ``domain``, ``grams``) of one domain with a cosine of at least ``least``."""
-    gram = nodes.select("domain", "node", F.explode("grams").alias("gram"))
-    total = nodes.count()
-    df = gram.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    weight = df.select("gram", "df", F.log(1 + F.lit(float(total)) / F.col("df")).alias("w"))
-    vectors = gram.join(weight, "gram").groupBy("domain", "node").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    vectors = vectors.withColumn("norm", norm).withColumn("v", F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))))
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def prefix(vs: pd.Series) -> pd.Series:
-        out = []
-        for v in vs:
-            rest, keep = 1.0, 0
-            for x in v:
-                if rest < least * least:
-                    break
-                rest -= x["w"] ** 2
-                keep += 1
-            out.append([x["gram"] for x in v[:keep]])
-        return pd.Series(out, dtype=object)
-
-    keys = vectors.select("domain", "node", F.explode(prefix("v")).alias("gram"))
-    other = keys.select("domain", "gram", F.col("node").alias("b"))
-    met = keys.withColumnRenamed("node", "a").join(other, ["domain", "gram"]).filter("a < b").select("a", "b").distinct()
-    sparse = vectors.select("node", "v")
-    full = met.join(sparse.select(F.col("node").alias("a"), F.col("v").alias("va")), "a").join(sparse.select(F.col("node").alias("b"), F.col("v").alias("vb")), "b")
-
-    @F.pandas_udf(T.DoubleType())
-    def cosine(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = np.zeros(len(x))
-        for i, (a, b) in enumerate(zip(x, y, strict=True)):
-            wa = {t["gram"]: t["w"] for t in a}
-            out[i] = sum(t["w"] * wa.get(t["gram"], 0.0) for t in b)
-        return pd.Series(out)
-
-    return full.select("a", "b", cosine("va", "vb").alias("cosine")).filter(F.col("cosine") >= least)
-
-
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """``node``, ``component``: the smallest node each node of ``edges`` (``a``, ``b``) is connected with."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
-    for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
-        after = labels.join(near, labels["node"] == near["a"]).select("node", F.least("component", "m").alias("next"), "component")
-        # jump to the label of the label
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
-        after = cut(after.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("component"), F.col("component").alias("was")))
-        changed = after.filter("component <> was").limit(1).count()
-        labels = after.select("node", "component")
-        if not changed:
-            break
-    return labels
-
-
-def average_linkage(edges: list[tuple[int, int, float]], least: float = AVERAGE) -> dict[int, int]:
-    """Clusters of a component by average linkage over its links; pairs without a link count as 0."""
-    members: dict[int, list[int]] = {}
-    sums: dict[int, dict[int, float]] = {}
-    for a, b, s in edges:
-        for x, y in ((a, b), (b, a)):
-            members.setdefault(x, [x])
-            sums.setdefault(x, {})[y] = s
-    heap = [(-s, a, b) for a, b, s in edges]
-    heapq.heapify(heap)
-    while heap:
-        s, a, b = heapq.heappop(heap)
-        if a not in members or b not in members:
-            continue
-        now = sums[a].get(b)
-        if now is None or abs(now / (len(members[a]) * len(members[b])) + s) > 1e-9:
-            continue
-        if -s < least:
-            break
-        big, small = (a, b) if len(sums[a]) >= len(sums[b]) else (b, a)
-        for c, w in sums.pop(small).items():
-            sums[c].pop(small, None)
-            if c != big:
-                sums[big][c] = sums[big].get(c, 0.0) + w
-                sums[c][big] = sums[big][c]
-        members[big] += members.pop(small)
-        for c, w in sums[big].items():
-            heapq.heappush(heap, (-w / (len(members[big]) * len(members[c])), big, c))
-    return {m: min(ms) for ms in members.values() for m in ms}
+
+@functools.lru_cache(100_000)
+def _words(norm: str) -> tuple[str, ...]:
+    return tuple(norm[2:].split(" ")) if len(norm) > 2 else ()
+
+
+# ---- average linkage -------------------------------------------------------------------------------------------
+
+
+def average_linkage(links: DataFrame, least: float = AVERAGE) -> DataFrame:
+    """``domain``, ``node``, ``cluster`` of the names in ``links`` (``domain``, ``a`` < ``b``, ``cosine``).
+
+    All clusters that are each other's nearest merge at once, until no two are at least ``least`` alike on average.
+    """
+    now = cut(links.select("domain", "a", "b", F.col("cosine").alias("s"), F.lit(1).cast("long").alias("na"), F.lit(1).cast("long").alias("nb")))
+    of = now.select("domain", F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("cluster", F.col("node"))
+    while True:
+        # ties go to the smaller labels, in one order for both sides
+        rank = F.struct((-F.col("s") / (F.col("na") * F.col("nb"))).alias("far"), F.col("a").alias("lo"), F.col("b").alias("hi"))
+        live = now.filter(F.col("s") >= least * F.col("na") * F.col("nb")).withColumn("rank", rank)
+        ends = live.select("domain", "rank", F.explode(F.array("a", "b")).alias("x"))
+        nearest = ends.groupBy("domain", "x").agg(F.min("rank").alias("r")).select("domain", "r.lo", "r.hi")
+        merged = cut(nearest.groupBy("domain", "lo", "hi").agg(F.count(F.lit(1)).alias("ends")).filter("ends = 2").select("domain", "lo", "hi"))
+        if not merged.limit(1).count():
+            return of
+        sizes = live.select("domain", F.col("a").alias("lo"), F.col("b").alias("hi"), (F.col("na") + F.col("nb")).alias("size"))
+        grown = cut(merged.join(sizes, ["domain", "lo", "hi"]))
+        to = grown.select("domain", F.explode(F.array(F.struct(F.col("lo").alias("x"), F.col("lo").alias("to")), F.struct(F.col("hi").alias("x"), F.col("lo").alias("to")))).alias("m"), "size")
+        to = to.select("domain", "m.x", "m.to", "size")
+        of = of.join(to.select("domain", F.col("x").alias("cluster"), "to"), ["domain", "cluster"], "left").select("domain", "node", F.coalesce("to", "cluster").alias("cluster"))
+        new = now.join(to.select("domain", F.col("x").alias("a"), F.col("to").alias("ta"), F.col("size").alias("sa")), ["domain", "a"], "left")
+        new = new.join(to.select("domain", F.col("x").alias("b"), F.col("to").alias("tb"), F.col("size").alias("sb")), ["domain", "b"], "left")
+        x = F.struct(F.coalesce("ta", "a").alias("c"), F.coalesce("sa", "na").alias("n"))
+        y = F.struct(F.coalesce("tb", "b").alias("c"), F.coalesce("sb", "nb").alias("n"))
+        new = new.select("domain", F.least(x, y).alias("p"), F.greatest(x, y).alias("q"), "s").filter("p.c <> q.c")
+        now = cut(new.groupBy("domain", "p", "q").agg(F.sum("s").alias("s")).select("domain", F.col("p.c").alias("a"), F.col("q.c").alias("b"), "s", F.col("p.n").alias("na"), F.col("q.n").alias("nb")))
 
 
 def clusters(people: DataFrame) -> DataFrame:
-    """``id``, ``domain``, ``name``, ``cluster`` of each named row of ``people``."""
-    rows = people.filter("name is not null and trim(name) <> ''")
-    contact = rows.select("id", "domain", "name", "linkedin", "phone", "email")
-    spelt = contact.groupBy("domain", "name").agg(
-        F.collect_set(F.lower(F.regexp_replace("linkedin", "/+$", ""))).alias("links"), F.collect_set(F.regexp_replace(F.regexp_replace("phone", "[^0-9]", ""), "^00", "")).alias("phones"), F.collect_set(F.lower("email")).alias("emails")
-    )
-    spelt = spelt.withColumn("n", _norm("name")).select("domain", "name", "links", "phones", "emails", "n.*")
-    spelt = cut(spelt.withColumn("node", F.xxhash64("domain", "norm")))
-    common = common_given(spelt)
-    merged = spelt.groupBy("node").agg(F.first("domain").alias("domain"), F.first("grams").alias("grams"), F.min("name").alias("name"), F.array_distinct(F.flatten(F.collect_set("links"))).alias("links"), F.array_distinct(F.flatten(F.collect_set("phones"))).alias("phones"), F.array_distinct(F.flatten(F.collect_set("emails"))).alias("emails"))
-    nodes = cut(merged)
-
-    @F.pandas_udf(T.DoubleType())
-    def score(x: pd.DataFrame, y: pd.DataFrame) -> pd.Series:
-        out = np.zeros(len(x))
-        for i, (a, b) in enumerate(zip(x.itertuples(index=False), y.itertuples(index=False), strict=True)):
-            s = pair_score(a.name, b.name, common)
-            if s:
-                agree = contacts_agree((set(a.links), set(a.phones), set(a.emails)), (set(b.links), set(b.phones), set(b.emails)))
-                s = min(1.0, s + 0.2 * agree) if agree > 0 else s * 0.5 if agree < 0 else s
-            out[i] = s
-        return pd.Series(out)
-
-    face = nodes.select("node", F.struct("name", "links", "phones", "emails").alias("face"))
-    pairs = meetings(nodes)
-    pairs = pairs.join(face.select(F.col("node").alias("a"), F.col("face").alias("fa")), "a").join(face.select(F.col("node").alias("b"), F.col("face").alias("fb")), "b")
-    edges = cut(pairs.select("a", "b", score("fa", "fb").alias("s")).filter(F.col("s") >= LEAST_SCORE))
-    parts = components(edges)
-
-    found = T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("cluster", T.LongType())]))
-
-    @F.pandas_udf(found)
-    def group(links: pd.Series) -> pd.Series:
-        return pd.Series([[{"node": n, "cluster": c} for n, c in average_linkage([(x["a"], x["b"], x["s"]) for x in ls]).items()] for ls in links], dtype=object)
-
-    # a link by itself is a cluster; only components with more go through average linkage
-    of_part = edges.join(parts.withColumnRenamed("node", "a"), "a").groupBy("component").agg(F.collect_list(F.struct("a", "b", "s")).alias("links"))
-    more = of_part.filter(F.size("links") > 1).select(F.explode(group("links")).alias("x")).select("x.node", "x.cluster")
-    one = of_part.filter(F.size("links") == 1).select(F.explode(F.array(F.col("links")[0]["a"], F.col("links")[0]["b"])).alias("node"), "component")
-    linked = more.unionByName(one.select("node", F.col("component").alias("cluster")))
-    of_name = spelt.select("domain", "name", "node").join(linked, "node", "left").select("domain", "name", F.coalesce("cluster", "node").alias("cluster"))
-    return rows.select("id", "domain", "name").join(of_name, ["domain", "name"])
+    """``id``, ``domain``, ``name``, ``cluster`` of each named row of ``people``; labels are unique within a domain."""
+    rows = people.select("id", "domain", "name").filter("name is not null and trim(name) <> ''").withColumn("n", _norm("name"))
+    rows = cut(rows.select("id", "domain", "name", "n.*"))
+    nodes = cut(rows.groupBy("domain", "norm").agg(F.bool_or("sure").alias("sure"), F.min("given").alias("given"), F.count(F.lit(1)).alias("rows")))
+    links = similar(nodes, rarity(nodes), common_given(nodes))
+    of = average_linkage(links).withColumnRenamed("node", "norm")
+    total = rows.count() or 1
+    labels = nodes.join(of, ["domain", "norm"], "left").select("domain", "norm", F.coalesce("cluster", "norm").alias("cluster"), (F.col("rows") / F.lit(total)).alias("share"))
+    return join_spread(rows.select("id", "domain", "name", "norm"), cut(labels), ["domain", "norm"], "share").select("id", "domain", "name", "cluster")
 
 
 def linked_pairs(people: DataFrame) -> DataFrame:
-    """``id_a`` < ``id_b`` of rows of one domain that name the same under names not equal as stored."""
+    """``id_a`` < ``id_b`` of rows of one domain that name the same under names not equal as stored.
+
+    Spellings are paired first, so rows equal as stored, however many, never meet one another.
+    """
     members = cut(clusters(people))
-    # most clusters have one spelling and pair nothing
-    many = members.groupBy("domain", "cluster").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x <> y").select("domain", "cluster")
-    open_ = members.join(many, ["domain", "cluster"])
-    a = open_.select("domain", "cluster", F.col("id").alias("id_a"), F.col("name").alias("name_a"))
-    b = open_.select("domain", "cluster", F.col("id").alias("id_b"), F.col("name").alias("name_b"))
-    return a.join(b, ["domain", "cluster"]).filter("id_a < id_b and name_a <> name_b").select("id_a", "id_b").distinct()
+    spelt = members.select("domain", "cluster", "name").distinct()
+    x, y = spelt.withColumnRenamed("name", "name_a"), spelt.withColumnRenamed("name", "name_b")
+    pairs = x.join(y, ["domain", "cluster"]).filter("name_a < name_b").select("domain", "name_a", "name_b")
+    a = members.select("domain", F.col("name").alias("name_a"), F.col("id").alias("a"))
+    b = members.select("domain", F.col("name").alias("name_b"), F.col("id").alias("b"))
+    met = pairs.join(a, ["domain", "name_a"]).join(b, ["domain", "name_b"])
+    return met.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()

@@ -16,7 +16,7 @@ where lists are common or a language has few texts, and an exact check follows:
 sentences, and whether a single sentence stands among other lines.
 
 Copies of a text are measured where they stand but ranked, scored and judged once. Values and texts that hold a
-large share of the rows are joined by broadcast (there are at most ``1 / HOT`` of a group), the others by shuffle,
+large share of the rows are joined by broadcast (there are at most ``1 / spread.HOT`` of a group), the others by shuffle,
 so no task gets the rows of one value or text. What reaches the driver is one row per language.
 
 Defined results: null and blank texts have no words, all ratios 0, and are no prose; very long texts are
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.llm.spread import join_spread
 from quarryline.session import cut
 
 # Common words that carry sentences; those that stand in names of goods as well (de, of, in) are left out.
@@ -60,8 +61,6 @@ STATISTICS = ("words", "mean_word_length", "symbol_ratio", "digit_ratio", "ended
 #: The scored statistics with the side on which junk lies: the left or the right tail, or both ("lr").
 SIDES = {"symbol_ratio": "r", "digit_ratio": "r", "ended_lines": "l", "common_share": "l", "sentence_share": "l", "other_share": "r"}
 LEAST_SHARE = 0.5
-#: A value or text with at least this share of the rows of its group is joined by broadcast.
-HOT = 0.001
 #: The group of all texts.
 EVERY = "*"
 
@@ -210,16 +209,6 @@ def exact_ranks(values: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranked.select("statistic", "lang", "value", "n", at_most.alias("at_most"), (F.col("total") - at_most + F.col("n")).alias("at_least"), "total")
 
 
-def join_spread(left: DataFrame, right: DataFrame, keys: list[str], share: str) -> DataFrame:
-    """The inner join of ``left`` with ``right``, which has each key once and in ``share`` its share of the rows of its group.
-
-    Keys of at least ``HOT`` are broadcast; a group has at most ``1 / HOT`` of them, however large it is.
-    """
-    hot = F.broadcast(right.filter(F.col(share) >= HOT).drop(share))
-    cold = right.filter(F.col(share) < HOT).drop(share)
-    return left.join(hot, keys).unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys))
-
-
 def splits(scores: DataFrame) -> DataFrame:
     """``lang``, ``low``, ``high``: below which scores of a language are those of prose, and past which they are those of junk.
 

@@ -52,13 +52,13 @@ def test_titles(spark):
 
 @pytest.mark.parametrize(("a", "b"), [("Anthony Wolzifev", "Tony Wolzifev"), ("A. Lunjudosk", "Anil Lunjudosk"), ("Torna, Michael", "Michael Torna"), ("Xiao Ming Kelleho", "Xiaoming Kelleho"), ("José Wolvugar", "Pepe Wollvugar"), ("Joseph Firhinigar-Firhonalli", "Joseph Firhonalli"), ("Acme Foods and Co", "Acme Foods & Company"), ("Dr. Ann Lee, MBA", "ann  lee")])
 def test_names_of_one(a, b):
-    assert names.pair_score(a, b, frozenset()) >= names.LEAST_SCORE
+    assert names.agreement(names.parse(a)[:3], names.parse(b)[:3], frozenset()) >= names.LEAST_AGREEMENT
 
 
 @pytest.mark.parametrize(("a", "b"), [("Anil Marfomann", "Anila Marfomann"), ("Ivan Torpav", "Ivana Torpav"), ("Mario Zan", "Maria Zan"), ("Noor Vesman", "Olga Vesman"), ("Katherine H. Ostkisk", "Katherine K. Ostkisk"), ("Acme Foods Ltd", "Bolt Foods Ltd")])
 def test_names_of_two(a, b):
     common = frozenset("anil anila ivan ivana mario maria noor olga katherine".split())
-    assert names.pair_score(a, b, common) < names.LEAST_SCORE
+    assert names.agreement(names.parse(a)[:3], names.parse(b)[:3], common) < names.LEAST_AGREEMENT
 
 
 def test_linked_pairs(spark):
@@ -68,41 +68,78 @@ def test_linked_pairs(spark):
     assert names.linked_pairs(df.limit(0)).count() == 0
 
 
-def test_candidates_lose_no_pair(spark):
-    words = ["wolzifev", "wolzifef", "marfomann", "marfoman", "torpav", "torpavi", "kelleho"]
-    grams = [(i, "d", sorted({f" {w} "[k : k + 3] for k in range(len(w))})) for i, w in enumerate(words)]
-    got = {(r.a, r.b) for r in names.candidates(spark.createDataFrame(grams, "node long, domain string, grams array<string>"), 0.3).collect()}
-    df = {g: sum(g in x[2] for x in grams) for x in grams for g in x[2]}
-    weight = {g: np.log(1 + len(grams) / n) for g, n in df.items()}
-    length = [np.sqrt(sum(weight[g] ** 2 for g in x[2])) for x in grams]
-    brute = {(i, j) for i in range(len(words)) for j in range(i + 1, len(words)) if sum(weight[g] ** 2 for g in set(grams[i][2]) & set(grams[j][2])) / length[i] / length[j] >= 0.3}
-    assert got == brute
+def _nodes(spark, spelt):
+    return spark.createDataFrame([(d, n, False) for d, n in spelt], "domain string, norm string, sure boolean")
+
+
+@pytest.mark.parametrize("chunk", [1000, 5])
+def test_similar_is_every_pair_at_the_threshold(spark, chunk):
+    given, family = ["robert", "r", "noor", "olga"], ["lunjelli", "lujnelli", "wolpiffi", "woleiffi", "lee"]
+    spelt = [(d, f"p:{g} {f}") for d in ("d", "e") for g in given for f in family] + [("f", "c:acme foods"), ("f", "c:acme food"), ("f", "p:"), ("f", "p:" + "x" * 3000)]
+    weights = names.rarity(_nodes(spark, spelt))
+    got = {(r.domain, r.a, r.b): r.cosine for r in names.similar(_nodes(spark, spelt), weights, None, 0.4, chunk=chunk).collect()}
+
+    def cosine(a, b):
+        x, y = set(names.places(a)), set(names.places(b))
+        size = lambda s: sum(float(weights[p]) ** 2 for p in s) ** 0.5
+        return sum(float(weights[p]) ** 2 for p in x & y) / max(1e-9, size(x) * size(y))
+
+    brute = {(d, min(a, b), max(a, b)): cosine(a, b) for i, (d, a) in enumerate(spelt) for e, b in spelt[:i] if d == e and cosine(a, b) >= 0.4}
+    assert got == pytest.approx(brute) and len(brute) > 40
+
+
+def test_similar_keeps_the_best_of_each_with_ties(spark):
+    spelt = [("d", f"p:robert {f}") for f in ("lunjelli", "lunjella", "lunjello", "marfoman")]
+    weights = np.ones(names.BUCKETS, dtype=np.float32)
+    every = names.similar(_nodes(spark, spelt), weights, None, 0.1)
+    best = {(r.a, r.b) for r in names.similar(_nodes(spark, spelt), weights, None, 0.1, top=1).collect()}
+    assert every.count() == 6 and {tuple(f"p:robert lunjell{x}" for x in p) for p in ("ai", "ao", "io")} < best
 
 
 def test_nickname_and_slip_are_linked(spark):
     pairs = [("bobby lujnelli", "robert r lunjelli"), ("kit quirben", "christopher s quinben"), ("noor n wolpiffi", "nur woleiffi")]
     people = [(2 * i + k, f"d{i}", n) for i, p in enumerate(pairs) for k, n in enumerate(p)]
-    # their shared parts are common, the others rare, so their cosine is low
+    # their shared parts are common, the others rare
     others = [f"{g} {f}" for g in ("lunja", "elli", "lun", "quia", "ben", "wol", "iffi", "nora", "wolei", "belli") for f in ("lumelli", "luzelli", "quimen", "quiroben", "wolbiffi", "wolgiffi", "elliben", "wolquiffi")]
     people += [(100 + i, f"o{i}", n) for i, n in enumerate(others * 8)]
-    df = spark.createDataFrame(people, "id long, domain string, name string").selectExpr("*", "cast(null as string) title", "cast(null as string) email", "cast(null as string) phone", "cast(null as string) linkedin")
+    df = spark.createDataFrame(people, "id long, domain string, name string")
     assert {(0, 1), (2, 3), (4, 5)} <= set(map(tuple, names.linked_pairs(df).collect()))
 
 
-def test_every_pair_the_score_accepts_meets():
-    given = ["robert", "bobby", "b", "noor", "nur", "jose luis", "pepe", "x m"]
-    family = ["lunjelli", "lujnelli", "wolpiffi", "woleiffi", "firhini-firho", "firho", "wolpifife", "lee", "le"]
-    spelt = [x for g in given for f in family for x in (f"{g} {f}", f"{f} {g}", f"{f}, {g}")] + ["acme foods ltd", "acmefoods ltd", "acne foods co", "acme food co", "acmi foodz ltd"]
-    for common in (frozenset(), frozenset(given)):
-        for i, a in enumerate(spelt):
-            for b in spelt[:i]:
-                if names.pair_score(a, b, common) > 0:
-                    assert set(names.meeting_keys(a)) & set(names.meeting_keys(b)), (a, b)
-
-
-def test_average_linkage_keeps_contradictions_apart():
-    out = names.average_linkage([(1, 2, 0.9), (3, 4, 0.9), (2, 3, 0.65)])
-    assert out[1] == out[2] != out[3] == out[4]
+def _one_by_one(links, least):
+    """Average linkage by merging the nearest two clusters at a time."""
+    members = {x: {x} for e in links for x in e[:2]}
+    weight = {frozenset(e[:2]): e[2] for e in links}
+    while True:
+        far = []
+        for a in members:
+            for b in members:
+                if a < b:
+                    total = sum(weight.get(frozenset((x, y)), 0.0) for x in members[a] for y in members[b])
+                    far.append((-total / len(members[a]) / len(members[b]), a, b))
+        if not far or -min(far)[0] < least:
+            return {x: c for c, xs in members.items() for x in xs}
+        _, a, b = min(far)
+        members[a] |= members.pop(b)
+
+
+def test_average_linkage(spark):
+    rng = np.random.default_rng(3)
+    links = [("1", "2", 0.9), ("3", "4", 0.9), ("2", "3", 0.65)]
+    out = {r.node: r.cluster for r in names.average_linkage(spark.createDataFrame([("d", *x) for x in links], names.LINKS), 0.4).collect()}
+    assert out["1"] == out["2"] != out["3"] == out["4"]
+    links = [(f"{i:02}", f"{j:02}", round(float(rng.random()), 3)) for i in range(14) for j in range(i + 1, 14) if rng.random() < 0.4]
+    df = spark.createDataFrame([(d, *x) for d in ("d", "e") for x in links], names.LINKS)
+    for least in (0.15, 0.3, 0.6):
+        out = {(r.domain, r.node): r.cluster for r in names.average_linkage(df, least).collect()}
+        want = _one_by_one(links, least)
+        assert out == {(d, x): c for d in ("d", "e") for x, c in want.items()}
+
+
+def test_copies_of_a_name_never_meet_one_another(spark):
+    rows = [(i, "d", "Ann Lee") for i in range(300)] + [(900, "d", "Lee, Ann"), (901, "e", "Ann Lee")]
+    out = names.linked_pairs(spark.createDataFrame(rows, "id long, domain string, name string"))
+    assert sorted(map(tuple, out.collect())) == [(i, 900) for i in range(300)]
 
 
 # ---- packing and mixing --------------------------------------------------------------------------------------
