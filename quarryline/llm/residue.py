@@ -4,9 +4,12 @@ Unfilled placeholders are matched by delimiter-specific grammars: each kind of d
 angle brackets, percent signs, hashes, at signs, format directives, capital names) has its own rule for what
 may stand inside, so that ``[ISO 9001]`` or ``50% linen`` match none. Filler is measured by density: the share
 of filler words in a run of words. Error pages and script notices are matched as sentences that have both a
-subject (page, site, request) and a predicate (not found, blocked, needs scripts). What a firm says of its
-business is discounted by context: code spans and tutorial sentences are cut out first, and a sentence with
-business context (a first-person or third-person verb of trade, a product series) drops the weaker rules.
+subject (page, site, request) and a predicate (not found, blocked, needs scripts), within a few words of each other.
+Texts that speak of such signs are discounted by context and density: code spans are cut out first, and a match that
+is less than half of a sentence that explains or gives examples counts for nothing.
+
+Rules are run only on texts that hold one of the strings each of their matches must hold, derived from the rules
+themselves.
 
 Defined results: null and empty fields are no cases; very long texts are scanned whole, sentence by
 sentence; repeated rows give repeated marks; an empty table gives an empty result; other columns pass through.
@@ -18,6 +21,7 @@ import itertools
 import re
 from re import _casefix, _parser
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 # ---- placeholders: one grammar per delimiter --------------------------------------------------------------
 
 NAME = r"[A-Za-z_][\w.\-]*"  # an identifier, dotted or not
-WORDS = r"[A-Za-z_][\w.\- ]{0,40}"
+WORDS = r"[A-Za-z_][\w.\- ]*"
 # Nouns that templates ask to be filled in; used where the delimiter alone is too weak.
 SLOT = (
     r"(?:compan(?:y|ies)|business|firm|brand|shop|store|site|page|post|blog|product|service|item|category|city|town|country|region|state|address|street|phone|"
@@ -34,29 +38,29 @@ SLOT = (
 )
 VERB = r"(?:insert|enter|add|type|put|write|replace|your|change|edit|describe|fill(?: in)?|placeholder|todo|tbd|xxx+)"
 PLACEHOLDERS = [
-    r"\{\{[^{}]{0,80}(?:\}\}|$)",  # {{ name }}
-    r"\{!!?[^{}]{0,80}(?:!!?\}|$)",  # {!! name !!}
-    r"\{%[^{}]{0,80}(?:%\}|$)",  # {% name %}
-    r"\{#[^{}]{0,80}#\}",
+    r"\{\{[^{}]*(?:\}\}|$)",  # {{ name }}
+    r"\{!!?[^{}]*(?:!!?\}|$)",  # {!! name !!}
+    r"\{%[^{}]*(?:%\}|$)",  # {% name %}
+    r"\{#[^{}]*#\}",
     r"[$#]\{" + WORDS + r"\}",  # ${name} #{name}
-    r"\{\d{1,2}(?::[^{}]{0,12})?\}",  # {0}
+    r"\{\d+(?::[^{}]*)?\}",  # {0}
     r"\{[A-Za-z][a-z0-9]*(?:[_.][A-Za-z0-9_.]+|(?:[A-Z][a-z0-9]*)+)\}",  # {site_name} {siteName}
     r"\{[A-Z][A-Z0-9_]{2,}\}",  # {CITY}
     r"\{(?:[a-z]+ )?" + SLOT + r"(?: [a-z]+)?\}",
     r"\[\[[+*$~%!]?\s*" + WORDS + r"\]\]",  # [[name]] [[+name]]
-    r"\[%[^\[\]]{0,80}%\]",  # [%NAME%]
+    r"\[%[^\[\]]*%\]",  # [%NAME%]
     r"\[(?:[a-z]+:)?" + r"[a-z]+(?:[_.][a-z0-9_.]+)+\]",  # [site_name]
     r"\[[A-Z]+(?:_[A-Z0-9]+)+\]",
     r"\[(?:\w+ ){0,3}" + SLOT + r"(?:s|_?here| here| name)?\]",  # [City] [Your Company Name]
-    r"\[" + VERB + r"\b[^\[\]]{0,40}\]",
-    r"<!--\s*#?\s*[\w.: ]{2,60}-->",
-    r"<%[=\-#!@]?[^<>]{0,80}(?:%>|$)",  # <%= name %>
-    r"&lt;%.{0,80}?%&gt;",
-    r"<\?(?:php|=)[^<>]{0,80}(?:\?>|$)",
+    r"\[" + VERB + r"\b[^\[\]]*\]",
+    r"<!--\s*#?\s*[\w.: ]+-->",
+    r"<%[=\-#!@]?[^<>]*(?:%>|$)",  # <%= name %>
+    r"&lt;%.*?%&gt;",
+    r"<\?(?:php|=)[^<>]*(?:\?>|$)",
     r"<<\s*" + WORDS + r">>",
     r"&lt;&lt;\s*" + WORDS + r"&gt;&gt;",
     r"(?:<|&lt;)(?:\w+ ){0,3}" + SLOT + r"(?: here| name)?(?:>|&gt;)",  # <Company Name>
-    r"(?:<|&lt;)" + VERB + r"\b[\w ]{1,40}(?:>|&gt;)",
+    r"(?:<|&lt;)" + VERB + r"\b[\w ]+(?:>|&gt;)",
     r"%%\s*" + WORDS + r"%%",
     r"(?<!\d)(?<!\d )%[A-Za-z]+[_.][\w.]*%",  # %site_name%
     r"(?<!\d)(?<!\d )%[A-Z][A-Z_]{2,}%",
@@ -68,17 +72,17 @@ PLACEHOLDERS = [
     r"(?<![\w$])\$[a-z]+[A-Z_][A-Za-z_]*\b|(?<![\w$])\$(?:title|name|city|company)\b",
     r"\b[A-Z]{3,}(?:_[A-Z0-9]+)*_(?:HERE|NAME|TITLE|CITY|TEXT|TAGLINE|DESCRIPTION|URL|ID)\b",
     r"\b(?:YOUR|INSERT|ENTER|MY|SITE|COMPANY|BUSINESS|BRAND)(?:_[A-Z]+)+\b",
-    r"\((?:insert|enter|add|type|put|write|fill in)\b[^()]{0,40}\)",
+    r"\((?:insert|enter|add|type|put|write|fill in)\b[^()]*\)",
     r"\bX{3,}[ _-]" + SLOT + r"\b|\b" + SLOT + r"[ _-]X{3,}\b",
     r"\b(?:YOUR|Your) (?:BUSINESS|COMPANY|SITE|BRAND|FIRM|STORE|SHOP|Business|Company|Site|Brand|Firm|Store|Shop) (?:NAME|TITLE|SLOGAN|TAGLINE|LOGO|Name|Title|Slogan|Tagline|Logo)\b",
     r"\b(?:your |the )?(?:slogan|tagline|title|company name|business name|description|headline|text|content|name|logo)(?: text)? goes here\b",
-    r"^\s*(?:add|enter|insert|describe|type|write|put|edit|replace|change) (?:your|a|an|the|this)\b[^.]{0,60}?\bhere\b",
-    r"\b(?:describe|introduce) your (?:business|company|firm|shop|store|products?|services?)\b[^.]{0,30}\bhere\b",
+    r"^\s*(?:add|enter|insert|describe|type|write|put|edit|replace|change) (?:your|a|an|the|this)\b[^.]*?\bhere\b",
+    r"\b(?:describe|introduce) your (?:business|company|firm|shop|store|products?|services?)\b[^.]*\bhere\b",
     r"\b(?:insert|enter|replace|edit) (?:this|the|your) (?:default |sample |placeholder )?(?:text|title|tagline|description|content|copy)\b",
 ]
 # Default text of themes and builders, and values of programs that were never set.
 DEFAULTS = [
-    r"\bjust another [\w ]{0,30}(?:site|blog|weblog|page|shop|store)\b",
+    r"\bjust another [\w ]*?(?:site|blog|weblog|page|shop|store)\b",
     r"^\s*(?:hello world!?|untitled(?: (?:document|page|template|site|post|\d+))*|new (?:page|site|document|tab)(?: \d+)?|home ?page title|page title|site title|my (?:site|blog|website|store|shop|page)|default (?:title|page|description|web ?site page)|(?:page|site|title|tagline|description)(?: \d+)?(?: here)?|sample (?:page|text|title)(?: \d+)?|test(?: page| site)?(?: \d+)?|welcome to (?:nginx|apache|iis)\S*|index of /\S*)\s*$",
     r"\buntitled (?:document|page|template|site|post|block)\b",
     r"^\s*(?:undefined|null|nan|none|n/a|nil|\[object object\]|tbd|todo|xxx+|asdf+|qwerty)(?:[\s,|:/-]+(?:undefined|null|nan|none|nil))*\s*$",
@@ -128,7 +132,8 @@ GONE = (
 ERRORS = [
     r"\b(?:http|https|error|err|code|status|fehler|erreur|errore|erro|hata|błąd|ошибка|错误|错误代码|خطأ|त्रुटि|fout)\b[\s:/#–-]*(?:code[\s:/#–-]*)?[45]\d\d\b",
     r"\b[45]\d\d[\s:–|-]+(?:not found|forbidden|bad gateway|service (?:temporarily )?unavailable|internal (?:server )?error|unauthori[sz]ed|gone|bad request|too many requests|gateway time-?out|error|access denied|page|fehler|erreur|errore|erro)\b",
-    THING + r"\s(?:has |is |was )?(?:failed|fails|unable) to (?:render|load|open|respond|answer|display)|^\W*(?:site|page|account|request|access|connection|domain) (?:suspended|blocked|denied|removed|disabled|expired|rejected|closed)\W*$",
+    r"^\W*[45]\d\d\s*[:–|-]\s*(?:\w+ )*(?:error|failed|failure|fault|denied|refused|missing|unavailable)\b",
+    THING + r"\s(?:you (?:asked|are looking|were looking|requested|want)(?: for)?\s)?(?:has |is |was )?(?:failed|fails|unable) to (?:render|load|open|respond|answer|display)|^\W*(?:site|page|account|request|access|connection|domain) (?:suspended|blocked|denied|removed|disabled|expired|rejected|closed)\W*$",
     r"\bnothing (?:lives|is|was|exists|to see|here)\b[^.]{0,20}\b(?:at this address|here|found)\b|\bone moment\b[^.]{0,30}\bcheck\w*|\bchecking your (?:browser|connection)\b",
     r"\b(?:internal server (?:error|fault|failure|problem)|bad gateway|gateway time-?out|service (?:temporarily )?unavailable|bad request|too many requests|request time-?out|forbidden(?! city)|permission denied|connection (?:refused|reset|timed out)|(?:database|db) (?:connection )?error|error establishing|server (?:error|fault)|origin is unreachable|proxy error)\b(?=\W*(?:$|at|from|on|in|by|edge|node|for|to|while|establishing|\(|[-–|:]|ref|code|\d))",
     r"^\W*access (?:is |was )?denied\b|\baccess (?:to (?:this|the) (?:\w+ )?" + THING + r" )?(?:is|was|has been) (?:denied|forbidden|blocked|restricted)\b|\byou (?:do not|don['’]t) have (?:permission|access)\b|\bnot (?:allowed|authori[sz]ed) to (?:access|view|see)\b",
@@ -170,8 +175,9 @@ NOTICES = [
     r"\bbrowser\b[^.]{0,40}\b(?:does not|doesn['’]t|cannot|not|blocks?|has|with)\b[^.]{0,25}" + SCRIPT,
     r"\b(?:built|made|works only|designed|meant|intended|made only)\b[^.]{0,12}\b(?:for|in|with)\b[^.]{0,12}\bbrowsers?\b[^.]{0,20}" + SCRIPT,
     r"\bbrowser (?:is )?(?:not|un)[ -]?supported\b|\b(?:your|this) browser (?:is|does not|doesn['’]t|cannot)\b",
+    r"\b(?:cookies|(?:java ?)?scripts?)\b[^.]{0,40}\bmust be (?:allowed|enabled|accepted|permitted|activated|turned on|switched on)\b",
     r"\bchange your browser settings\b|\bplease (?:enable|allow|accept) cookies\b|\bcookies (?:must be|are) (?:enabled|required|disabled)\b",
-    r"(?:java ?script|\bskript\w*|\bscripts?\b)[^.]{0,50}(?:aktivier|einschalt|erforderlich|benötig|deaktiviert|erlauben|zulassen|ausgeschaltet)|(?:aktivier|benötig|einschalt|erlaub|erforder|brauch)\w*[^.]{0,40}(?:java ?script|\bskript\w*|\bscripts?\b)",
+    r"(?:java ?script|\bskript\w*|\bscripts?\b)[^.]{0,50}(?:aktivier|einschalt|erforderlich|benötig|deaktiviert|erlauben|zulassen|ausgeschaltet)|(?:aktivier|benötig|einschalt|erlaub|erforder|brauch)\w*[^.]{0,40}(?:java ?script|\bskript\w*|\bscripts?\b)|\bschalt\w*[^.]{0,40}(?:java ?script|\bskript\w*|\bscripts?\b)[^.]{0,20}\bein\b",
     r"(?:java ?script|\bscripts?\b|secuencias de comandos)[^.]{0,40}(?:activ|habilit|desactivad|deshabilitad|necesari|requerid)|(?:activ[ea]|habilit|permit|necesit|requier)\w*[^.]{0,40}(?:java ?script|\bscripts?\b)",
     r"(?:java ?script|\bscripts?\b)[^.]{0,40}(?:activ|autoris|désactivé|nécessaire|requis)|(?:activez|activer|autoris|nécessit|requiert|exige|besoin)\w*[^.]{0,40}(?:java ?script|\bscripts?\b)",
     r"(?:java ?script|\bscript\b|gli script)[^.]{0,40}(?:attiv|abilit|disattivat|disabilitat|necessari|richiest)|(?:attiv|abilit|richied|necessit|consent)\w*[^.]{0,40}(?:java ?script|\bscript\b)",
@@ -184,13 +190,11 @@ NOTICES = [
     r"(?:java ?script|जावास्क्रिप्ट|स्क्रिप्ट)[^।]{0,40}(?:चालू|सक्षम|सक्रिय|अक्षम|बंद|आवश्यक|ज़?रूर|अनुमति)|(?:सक्षम|चालू|सक्रिय)[^।]{0,30}(?:java ?script|स्क्रिप्ट)",
     r"(?:java ?script|جافا ?سكر[يب]+ت|البرامج النصية|النصوص البرمجية|السكربت)[^.]{0,40}(?:تفعيل|تشغيل|تمكين|معطل|مطلوب|معطلة|مفعل)|(?:تفعيل|تشغيل|تمكين|فعّ?ل|يتطلب|يرجى)[^.]{0,40}(?:java ?script|جافا|البرامج النصية|النصوص البرمجية|السكربت)",
 ]
-# What a firm says about itself; such a sentence is no message of a program.
-BUSINESS = re.compile(
-    r"\b(?:we|our team|our engineers) (?:build|make|develop|sell|supply|write|design|teach|offer|ship|print|train)\b|\b(?:dashboards?|portals? for|developers?|courses?|training|tutorial|series|grade|pumps?|agency|prints?|printing|replaces?|explains?|screening)\b|\bshipping papers\b",
-    re.I,
-)
-CODE = re.compile(r"```.*?```|`[^`\n]{1,200}`|<code>.*?</code>", re.S | re.I)
-TUTORIAL = re.compile(r"\b(?:e\.g\.|for example|such as|for instance|the syntax|in (?:jinja|django|php|twig|handlebars|templates?))\b[^.]{0,60}$", re.I)
+CODE = re.compile(r"```.*?```|`[^`\n]+`|<code>.*?</code>", re.S | re.I)
+#: What stands around signs and messages that a text speaks of and doesn't hold.
+TUTORIAL = re.compile(r"\b(?:e\.g\.|for example|such as|for instance|the syntax|tutorials?|snippets?|how to (?:fix|write|use)|template (?:engines?|variables?|tags?)|in (?:jinja|django|php|twig|handlebars|templates?))(?!\w)", re.I)
+#: A match that is less than this share of its sentence is discounted where the sentence speaks of such signs.
+DENSE = 0.5
 SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？।؟])\s*|\n+|\s[|»•·/]\s|\s[–—-]\s|:\s")
 WHOLE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？।؟])\s*|\n+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -311,8 +315,34 @@ def filler_density(text: str) -> bool:
     return best >= 5 or best >= 3 and bool(set(words) & FILLER_SURE)
 
 
-def _cued(rule: str, low: str) -> bool:
-    return any(c in low for c in _CUES[rule])
+def _automaton() -> ahocorasick.Automaton:
+    """All strings of all rules at once, each with the rules it is of."""
+    rules: dict[str, set[str]] = {}
+    for rule, cues in _CUES.items():
+        for c in cues:
+            rules.setdefault(c, set()).add(rule)
+    out = ahocorasick.Automaton()
+    for c, of in rules.items():
+        out.add_word(c, frozenset(of))
+    out.make_automaton()
+    return out
+
+
+_ALWAYS = frozenset(rule for rule, cues in _CUES.items() if cues == [""])
+_AUTOMATON = _automaton()
+
+
+def cued(low: str) -> set[str]:
+    """The rules that can match a text (folded)."""
+    return _ALWAYS.union(*{of for _, of in _AUTOMATON.iter(low)})
+
+
+def spoken_of(text: str, start: int, end: int) -> bool:
+    """Whether what ``text`` has from ``start`` to ``end`` is a small part of a sentence that speaks of such signs."""
+    first = max((m.end() for m in WHOLE.finditer(text, 0, start)), default=0)
+    after = WHOLE.search(text, end)
+    sentence = text[first : after.start() if after else len(text)]
+    return end - start < DENSE * len(sentence.strip()) and bool(TUTORIAL.search(text[first:start]) or TUTORIAL.search(text[end : first + len(sentence)]))
 
 
 def residue_kind(text: str | None) -> str | None:
@@ -321,14 +351,19 @@ def residue_kind(text: str | None) -> str | None:
         return None
     bare = CODE.sub(" ", text) if "`" in text or "<" in text else text
     low = folded(bare)
-    if _cued("placeholder", low):
+    rules = cued(low)
+    filler = not FILLER_WORDS.isdisjoint(WORD.findall(low))
+    if not rules and not filler:
+        return None
+    speaks = bool(TUTORIAL.search(bare))
+    if "placeholder" in rules:
         for p in (PLACEHOLDER, PLACEHOLDER_CASED):
             for m in p.finditer(bare):
-                if not TUTORIAL.search(bare[max(0, m.start() - 80) : m.start()]):
+                if not (speaks and spoken_of(bare, m.start(), m.end())):
                     return "placeholder"
-    if _cued("phrase", low) and PHRASE.search(bare):
+    if "phrase" in rules and PHRASE.search(bare):
         return "filler"
-    default, filler = _cued("default", low), not FILLER_WORDS.isdisjoint(WORD.findall(low))
+    default = "default" in rules
     if default or filler:
         for s in [bare, *SENTENCE.split(bare)]:
             if not s or not s.strip():
@@ -337,18 +372,17 @@ def residue_kind(text: str | None) -> str | None:
                 return "filler"
             if default and DEFAULT.search(s.strip()):
                 return "default"
-    notice, error = _cued("notice", low), _cued("error", low)
-    if notice or error:
+    if "notice" in rules or "error" in rules:
         for s in WHOLE.split(bare):
-            own = folded(s)
-            n, e = notice and _cued("notice", own), error and _cued("error", own)
-            if not (n or e) or BUSINESS.search(s):
+            own = cued(folded(s))
+            n, e = "notice" in own, "error" in own
+            if not (n or e):
                 continue
             for x in [s, *SENTENCE.split(s)]:
-                if n and NOTICE.search(x):
-                    return "script"
-                if e and ERROR.search(x.strip()):
-                    return "error"
+                for kind, rule in (("script", NOTICE if n else None), ("error", ERROR if e else None)):
+                    m = rule.search(x.strip()) if rule else None
+                    if m and not (speaks and TUTORIAL.search(s) and m.end() - m.start() < DENSE * len(s)):
+                        return kind
     return None
 
 

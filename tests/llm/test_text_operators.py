@@ -74,7 +74,8 @@ def test_residue_is_found(text):
 @pytest.mark.parametrize(
     "text",
     [None, "", "  ", "100% Cotton & 50% Linen", "Acme [ISO 9001] Template-Cut Gaskets", "Our 404 and 503 series pumps move pepper.", "We build JavaScript dashboards for ports.", "Null Point Calipers", "Sit & Dolor Wines", "Acme ($/MT price list)",
-     "Not Found Elsewhere Spices", "Dummy plugs and sample cases are made here.", "Access to the yard is denied to trucks without a permit."],
+     "Not Found Elsewhere Spices", "Dummy plugs and sample cases are made here.", "Access to the yard is denied to trucks without a permit.",
+     "In Jinja templates you write values such as {{ name }} between double braces.", "A tutorial on how to fix the message 404 Not Found on your own server, for beginners.", "Use `{{ name }}` for it."],
 )
 def test_business_text_is_not_residue(text):
     assert residue.residue_kind(text) is None
@@ -87,10 +88,20 @@ def test_business_text_is_not_residue(text):
 )
 def test_prefilter_keeps_what_the_rules_match(text, monkeypatch):
     kept = residue.residue_kind(text)
-    monkeypatch.setattr(residue, "_cued", lambda rule, low: True)
+    monkeypatch.setattr(residue, "cued", lambda low: set(residue._CUES))
     assert kept == residue.residue_kind(text) is not None
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [("{{ " + "a" * 500 + " }}", "placeholder"), ("<!-- " + "a b " * 90 + "-->", "placeholder"), ("[insert " + "x y " * 60 + "]", "placeholder"), ("Such as {{ name }}", "placeholder"), ("Our developers: the page you requested could not be found", "error"),
+     ("Grade: 404 Not Found", "error"), ("Pumps 500 Internal Server Error", "error"), ("503: backend error", "error"), ("404: the document you asked for failed to render", "error"), ("Cookies and scripts must be allowed before the catalogue can load.", "script"),
+     ("Bitte schalten Sie JavaScript ein, um diese Seite zu sehen.", "script")],
+)
+def test_no_length_or_word_of_business_hides_residue(text, kind):
+    assert residue.residue_kind(text) == kind
+
+
 def test_each_rule_tells_what_its_matches_hold():
     needed = lambda p: residue.needed(residue._parser.parse(p, residue.re.I))
     assert needed("(?:page|site)s? is (?:gone|missing)") == {"page is gone", "page is missing", "pages is gone", "pages is missing", "site is gone", "site is missing", "sites is gone", "sites is missing"}
