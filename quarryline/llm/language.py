@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -70,10 +71,16 @@ def sentences(text: str) -> list[str]:
     return [s for p in SENTENCE.split(text) if (s := EDGE.sub("", p))]
 
 
+def words_of(sentence: str) -> tuple[list[str], int]:
+    """The words of a sentence and their number; two ideographs count as a word."""
+    words = WORD.findall(sentence)
+    if sentence.isascii() or not (wide := len(CJK.findall(sentence))):
+        return words, len(words)
+    return words, len(WORD.findall(CJK.sub(" ", sentence))) + wide // 2
+
+
 def size(sentence: str) -> int:
-    """Words of a sentence; two ideographs count as a word."""
-    wide = len(CJK.findall(sentence))
-    return len(WORD.findall(CJK.sub(" ", sentence))) + wide // 2
+    return words_of(sentence)[1]
 
 
 def folded(text: str) -> str:
@@ -85,12 +92,18 @@ def grams(word: str) -> set[str]:
     return {padded[i : i + n] for n in range(1, ORDER + 1) for i in range(len(padded) - n + 1)} - {" "}
 
 
+#: A segment of this many words is a whole sentence; a longer one tells its language by itself.
+WHOLE, CLEAR_WORDS = 3, 4
+#: So much better another language than that of the text must score for a segment; more for one that is short.
+MARGIN, SHORT_MARGIN = 0.15, 0.45
+
+
 class Classifier:
     """Weights of n-grams for each language, and what turns scores into languages."""
 
     def __init__(self, ids: dict[str, int], weights: np.ndarray, languages: list[str]):
         self.ids, self.weights, self.languages = ids, weights, languages
-        self._words: dict[str, tuple[np.ndarray, int]] = {}
+        self._words: dict[str, np.ndarray] = {}
 
     def __getstate__(self):
         return self.ids, self.weights, self.languages
@@ -98,59 +111,71 @@ class Classifier:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def _word(self, word: str) -> tuple[np.ndarray, frozenset]:
+    def _word(self, word: str) -> np.ndarray:
+        """The numbers of a word's n-grams; those no landmark has are numbered behind the others by their hash."""
         known = self._words.get(word)
         if known is None:
-            gs = grams(word)
-            known = (np.array([self.ids[g] for g in gs if g in self.ids], dtype=np.int64), frozenset(g for g in gs if g not in self.ids))
+            behind = len(self.weights)
+            known = np.array([self.ids[g] if g in self.ids else behind + zlib.crc32(g.encode()) for g in grams(word)], dtype=np.int64)
             if len(self._words) < 200_000:
                 self._words[word] = known
         return known
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """One row of scores per text: (X G) A, with X's rows normalized."""
-        parts, norms, starts, at = [], [], [], 0
-        for t in texts:
-            words = [self._word(w) for w in set(WORD.findall(t.lower()))]
-            inside = np.unique(np.concatenate([w[0] for w in words])) if words else np.empty(0, dtype=np.int64)
-            outside = len(set().union(*[w[1] for w in words])) if words else 0
-            parts.append(inside)
-            starts.append(at)
-            at += len(inside) + 1
-            norms.append(max(1, len(inside) + outside) ** 0.5)
-        pad = np.array([len(self.weights) - 1], dtype=np.int64)  # the last row is zero
-        flat = np.concatenate([x for p in parts for x in (p, pad)]) if parts else pad
-        return np.add.reduceat(self.weights[flat], starts, axis=0) / np.array(norms)[:, None] if parts else np.empty((0, len(self.languages)))
+    def scores(self, words: list[list[str]]) -> np.ndarray:
+        """One row of scores per text, given as its words: (X G) A with X the sparse presence matrix of all texts, its rows normalized."""
+        parts = [[self._word(w) for w in {w.lower() for w in ws}] for ws in words]
+        counts = np.array([sum(map(len, ps)) for ps in parts], dtype=np.int64)
+        flat = np.concatenate([x for ps in parts for x in ps]) if counts.sum() else np.empty(0, dtype=np.int64)
+        row = np.repeat(np.arange(len(words)), counts)
+        present = np.sort((row << 40) | flat)
+        present = present[np.r_[True, present[1:] != present[:-1]]] if len(present) else present  # an n-gram counts once in a text
+        row, gram = present >> 40, present & ((1 << 40) - 1)
+        norm = np.sqrt(np.maximum(1, np.bincount(row, minlength=len(words))))
+        inside = gram < len(self.weights)
+        row, gram = row[inside], gram[inside]
+        out = np.zeros((len(words), len(self.languages)))
+        if len(row):
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            out[row[starts]] = np.add.reduceat(self.weights[gram], starts, axis=0)
+        return out / norm[:, None]
+
+    def probabilities(self, scores: np.ndarray) -> np.ndarray:
+        e = np.exp(6 * (scores - scores.max(axis=1, keepdims=True)))
+        return e / e.sum(axis=1, keepdims=True)
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and confidence of each text."""
-        s = self.scores(texts)
-        e = np.exp(6 * (s - s.max(axis=1, keepdims=True)))
-        p = e / e.sum(axis=1, keepdims=True)
-        best = p.argmax(axis=1) if len(p) else []
-        return [(self.languages[b], float(p[i, b])) for i, b in enumerate(best)]
+        if not texts:
+            return []
+        p = self.probabilities(self.scores([WORD.findall(t) for t in texts]))
+        return [(self.languages[b], float(p[i, b])) for i, b in enumerate(p.argmax(axis=1))]
 
-    def segments(self, text: str | None, least: int = 3) -> list[tuple[str, str, float, bool]]:
-        """Segment, language, confidence, and whether it is a whole sentence.
+    def segments(self, texts: list[str | None]) -> list[list[tuple[str, str, float, bool]]]:
+        """Of each text: segment, language, confidence, and whether it is a whole sentence; all segments are scored as one matrix.
 
         A segment too short to tell, or one that tells little, takes the language of the text if that scores nearly as well.
         """
-        parts = sentences(text) if text else []
-        parts = [p for p in parts if WORD.search(p)]
+        parts: list[tuple[int, str, list[str], int]] = []
+        for i, t in enumerate(texts):
+            for p in sentences(t) if t else ():
+                words, n = words_of(p)
+                if words:
+                    parts.append((i, p, words, n))
+        out: list[list[tuple[str, str, float, bool]]] = [[] for _ in texts]
         if not parts:
-            return []
-        s = self.scores(parts)
-        weight = np.array([min(40, size(p)) for p in parts], dtype=float)
-        total = (s * weight[:, None]).sum(axis=0)
-        main = int(total.argmax())
-        e = np.exp(6 * (s - s.max(axis=1, keepdims=True)))
-        probability = e / e.sum(axis=1, keepdims=True)
-        out = []
-        for i, p in enumerate(parts):
-            b = int(s[i].argmax())
-            if b != main and (weight[i] < 4 or s[i, b] - s[i, main] < 0.15):
-                b = main
-            out.append((p, self.languages[b], float(probability[i, b]), bool(weight[i] >= least)))
+            return out
+        s = self.scores([p[2] for p in parts])
+        probability = self.probabilities(s)
+        of, weight = np.array([p[0] for p in parts]), np.array([p[3] for p in parts])
+        total = np.zeros((len(texts), len(self.languages)))
+        np.add.at(total, of, s * weight[:, None])
+        main = total.argmax(axis=1)[of]
+        best = s.argmax(axis=1)
+        lead = s[np.arange(len(parts)), best] - s[np.arange(len(parts)), main]
+        best = np.where(lead < np.where(weight < CLEAR_WORDS, SHORT_MARGIN, MARGIN), main, best)
+        sure = probability[np.arange(len(parts)), best]
+        for (i, p, _, n), b, c in zip(parts, best.tolist(), sure.tolist(), strict=True):
+            out[i].append((p, self.languages[b], c, n >= WHOLE))
         return out
 
 
@@ -184,7 +209,7 @@ def _fit_once(texts: list[str], labels: np.ndarray, landmarks: int, ridge: float
     solved = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ target)
     a = root @ solved
     weights = (presence / norm[:, None]).T.astype(np.float64) @ a
-    return Classifier(ids, np.vstack([weights, np.zeros(len(languages))]).astype(np.float32), languages)
+    return Classifier(ids, weights.astype(np.float32), languages)
 
 
 def fit(sample: pd.DataFrame, landmarks: int = 30, ridge: float = 0.3) -> Classifier:
@@ -224,9 +249,8 @@ def labelled_sample(documents: DataFrame, text: str = "text", label: str = "lang
     return rows.select("lang", "text").orderBy("lang", F.xxhash64("text"), "text").toPandas()
 
 
-SEGMENTS = T.ArrayType(
-    T.StructType([T.StructField("segment", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("whole", T.BooleanType())])
-)
+_PLACE = [T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("whole", T.BooleanType())]
+SEGMENTS = T.ArrayType(T.StructType([T.StructField("segment", T.StringType()), *_PLACE]))
 
 
 def with_segments(df: DataFrame, column: str, model: Classifier, name: str = "segments") -> DataFrame:
@@ -234,11 +258,25 @@ def with_segments(df: DataFrame, column: str, model: Classifier, name: str = "se
 
     @F.pandas_udf(SEGMENTS)
     def segments(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("segment", "lang", "confidence", "whole"), s, strict=True)) for s in model.segments(t)] for t in texts], dtype=object)
+        return pd.Series([[dict(zip(("segment", "lang", "confidence", "whole"), s, strict=True)) for s in found] for found in model.segments(list(texts))], dtype=object)
 
     return df.withColumn(name, segments(F.col(column)))
 
 
+LANGUAGE_SETS = T.StructType([T.StructField("every", T.ArrayType(T.StringType())), T.StructField("whole", T.ArrayType(T.StringType()))])
+
+
+def with_languages(df: DataFrame, column: str, model: Classifier) -> DataFrame:
+    """``df`` with ``every`` and ``whole``: the languages of all segments of ``column``, and of its whole sentences."""
+
+    @F.pandas_udf(LANGUAGE_SETS)
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        found = model.segments(list(texts))
+        return pd.DataFrame({"every": [sorted({l for _, l, _, _ in f}) for f in found], "whole": [sorted({l for _, l, _, w in f if w}) for f in found]})
+
+    return df.withColumn("__l", sets(F.col(column))).select(*[c for c in df.columns if c not in ("every", "whole")], "__l.*")
+
+
 def with_language(df: DataFrame, segments: str = "segments", language: str = "detected", confidence: str = "confidence") -> DataFrame:
     """``df`` with the language most of its text is written in and the share of the text, weighed by confidence, that says so."""
     total = F.aggregate(segments, F.lit(0.0), lambda a, x: a + F.length(x["segment"]))
@@ -256,11 +294,7 @@ def with_language(df: DataFrame, segments: str = "segments", language: str = "de
 def suspects(metadata: DataFrame, model: Classifier) -> DataFrame:
     """``domain``, ``whole``: domains whose description is unlabelled, wrongly labelled or mixed, with the languages of its whole sentences."""
     rows = metadata.select("domain", "language", "description").filter("description is not null and trim(description) <> ''").distinct()
-    seen = with_segments(rows, "description", model)
-    every = F.array_distinct(F.transform("segments", lambda x: x["lang"]))
-    whole = F.array_distinct(F.transform(F.filter("segments", lambda x: x["whole"]), lambda x: x["lang"]))
-    named = _label(F.col("language"))
-    cases = seen.select("domain", every.alias("every"), whole.alias("whole"), named.alias("named"))
+    cases = with_languages(rows, "description", model).select("domain", "every", "whole", _label(F.col("language")).alias("named"))
     wrong = F.col("named").isNull() | ~F.array_contains("every", F.col("named")) | (F.size("whole") > 1)
     return cases.filter(wrong).select("domain", "whole")
 

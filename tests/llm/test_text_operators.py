@@ -23,11 +23,11 @@ def model():
 
 
 def test_language_of_segments(model):
-    seen = model.segments(f"{ENGLISH[0]} {GERMAN[1]}")
+    (seen,) = model.segments([f"{ENGLISH[0]} {GERMAN[1]}"])
     assert [(l, whole) for _, l, _, whole in seen] == [("en", True), ("de", True)]
     assert all(0 < c <= 1 for _, _, c, _ in seen)
-    assert model.segments(None) == model.segments("") == model.segments("123 -- 456") == []
-    assert len(model.segments(ENGLISH[0] + " " + ENGLISH[1] * 2000)) >= 2
+    assert model.segments([None, "", "123 -- 456"]) == [[], [], []] and model.segments([]) == []
+    assert len(model.segments([ENGLISH[0] + " " + ENGLISH[1] * 2000])[0]) >= 2
 
 
 def test_kernel_scores_equal_the_product_of_matrices(model):
