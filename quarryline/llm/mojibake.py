@@ -6,9 +6,10 @@
    distinct words have the pairs of characters of each, so a garbled text with many copies is no twin of its clean
    words; the counts decide only where that is near equal. Words that keep no skeleton (other scripts) are joined
    with the word that a transformation turns them into.
-2. Alignment. The ASCII runs of a pair coincide, so its other runs pair up character by character. A
-   transformation (written in encoding A, read as B, once or twice) is learned where it maps the clean runs of
-   enough distinct pairs to the garbled ones.
+2. Alignment. The ASCII runs of a pair coincide, so its other runs pair up character by character: each clean
+   character with the one in its place, or with the several that its bytes became. Tables of bytes tell which
+   transformations (written in encoding A, read as B, once or more often) make the one of the other; those that do so
+   for every character of the pair explain it, and one that explains enough distinct pairs is learned.
 3. Application. The learned transformations are undone in all texts: reading of UTF-8 run by run, where the bytes
    must form valid UTF-8; single-byte confusions word by word, where the word it gives must be known to the
    corpus and clearly more usual, whatever the counts. Replacement characters, and question marks in the place of letters of a twin, mark text whose
@@ -24,11 +25,13 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +48,7 @@ LOST = "�"
 ODD = r"[^\x00-\x7f]"
 RUN = re.compile(r"[^\x00-\x7f]+")
 HOLE = re.compile(r"[^\x00-\x7f]+|\?+")
-#: A transformation counts as learned with this many distinct aligned pairs.
+#: A transformation counts as learned with this many distinct aligned pairs; UTF-8 misread has a form of its own, so one is enough.
 SUPPORT = {"utf8": 1, "single": 3}
 #: So much more usual, as a logarithm, the pairs of characters of one spelling must be to tell it as the clean one whatever the counts.
 CLEAR = 1.0
@@ -93,31 +96,111 @@ UTF8_PAIRS = [f"utf8>{r}>{n}" for n in (1, 2, 3) for r in READERS if n == 1 or r
 SINGLE_PAIRS = [f"{w}>{r}>1" for w in WRITERS for r in MISREADERS if w != r and not (w in ("cp1252",) and r == "latin_1")]
 
 
-def explained(word: str, clean: str) -> list[str]:
-    """The transformations that turn the runs of ``clean`` into those of ``word`` when the two are aligned."""
+PAIRS = UTF8_PAIRS + SINGLE_PAIRS
+_BIT = {p: 1 << i for i, p in enumerate(PAIRS)}
+
+
+def _shown(byte: int, encoding: str) -> str | None:
+    """What a single-byte encoding shows for a byte; bytes it leaves undefined are passed on as controls."""
+    try:
+        return bytes([byte]).decode(encoding)
+    except UnicodeDecodeError:
+        return chr(byte) if 0x80 <= byte < 0xA0 else None
+
+
+def _byte_tables() -> tuple[dict[str, dict[int, str]], dict[tuple[str, str], int], dict[str, int]]:
+    """Of each single-byte transformation what it makes of a character; which transformations make one character of another; which make anything sane of one."""
+    tables: dict[str, dict[int, str]] = {}
+    makes: dict[tuple[str, str], int] = {}
+    reads: dict[str, int] = {}
+    for p in SINGLE_PAIRS:
+        writer, reader, _ = p.split(">")
+        if writer in WIDE:
+            continue
+        table = tables.setdefault(p, {})
+        for byte in range(0x80, 0x100):
+            seen, meant = _shown(byte, reader), None
+            try:
+                meant = bytes([byte]).decode(writer)
+            except UnicodeDecodeError:
+                continue
+            if seen is not None and sane(meant):
+                table[ord(seen)] = meant
+                makes[seen, meant] = makes.get((seen, meant), 0) | _BIT[p]
+                reads[seen] = reads.get(seen, 0) | _BIT[p]
+    return tables, makes, reads
+
+
+BYTES, MAKES, READS = _byte_tables()
+
+
+def _mangled(data: bytes, reader: str) -> str | None:
+    """What ``reader`` shows for bytes."""
+    if reader in WIDE:
+        try:
+            return data.decode(reader)
+        except UnicodeDecodeError:
+            return None
+    shown = [_shown(b, reader) for b in data]
+    return None if None in shown else "".join(shown)
+
+
+@functools.lru_cache(100_000)
+def mangled(run: str) -> dict[str, int]:
+    """The forms a clean run takes when its characters become several: written as UTF-8 or double bytes and read in another encoding, with the transformations that give each."""
+    out: dict[str, int] = {}
+    for p in PAIRS:
+        writer, reader, times = p.split(">")
+        if writer != "utf8" and writer not in WIDE:
+            continue
+        now: str | None = run
+        for _ in range(int(times)):
+            try:
+                now = _mangled(now.encode("utf-8" if writer == "utf8" else writer), reader) if now is not None else None
+            except UnicodeEncodeError:
+                now = None
+        if now is not None:
+            out[now] = out.get(now, 0) | _BIT[p]
+    return out
+
+
+def aligned(word: str, clean: str) -> int:
+    """The transformations (as bits) that turn each character of ``clean`` into what stands in its place in ``word``; the ASCII runs align the two."""
     a, b = RUN.findall(word), RUN.findall(clean)
     if len(a) != len(b) or RUN.split(word) != RUN.split(clean):
-        return []
-    return [p for p in UTF8_PAIRS + SINGLE_PAIRS if all(x != y and undo(x, p) == y for x, y in zip(a, b, strict=True) if x != y)]
+        return 0
+    left = -1
+    for x, y in zip(a, b, strict=True):
+        if x != y and left:
+            each = -1
+            if len(x) == len(y):
+                for c, d in zip(x, y, strict=True):
+                    each &= MAKES.get((c, d), 0)
+            else:
+                each = 0
+            left &= each | mangled(y).get(x, 0)
+    return left if left != -1 else 0
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _explained(words: pd.Series, cleans: pd.Series) -> pd.Series:
-    return pd.Series([explained(w, c) for w, c in zip(words, cleans, strict=True)], dtype=object)
+def explained(word: str, clean: str) -> list[str]:
+    """The transformations that turn the runs of ``clean`` into those of ``word`` when the two are aligned."""
+    bits = aligned(word, clean)
+    return [p for p in PAIRS if bits & _BIT[p]] if bits else []
 
 
 def originals(word: str, pairs: list[str]) -> list[dict]:
     """What each single-byte transformation makes of a word that has letters of no ASCII skeleton."""
     out = []
+    readable = -1
+    for c in {c for c in word if not c.isascii()}:
+        readable &= READS.get(c, 0)
     for p in pairs:
         if p.split(">")[0] in WIDE:
             for run in RUN.findall(word):
                 new = undo(run, p) if len(run) >= 6 else None
                 if new is not None and ideographic(new):
                     out += [{"pair": p, "original": c} for c in dict.fromkeys(CLAUSE.findall(new))]
-            continue
-        parts = [undo(x, p) if not x.isascii() else x for x in re.split(r"([^\x00-\x7f]+)", word) if x]
-        if None not in parts and (o := "".join(parts)) != word and any(c.isalpha() and ord(c) > 127 for c in o):
+        elif readable & _BIT[p] and (o := word.translate(BYTES[p])) != word and any(c.isalpha() and ord(c) > 127 for c in o):
             out.append({"pair": p, "original": o})
     return out
 
@@ -140,10 +223,16 @@ def words_of(texts: DataFrame) -> DataFrame:
     return out.select("domain", "field", F.regexp_replace("raw", r"^[\x00-\x2f\x3a-\x3e\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$", "").alias("word"))
 
 
-def scripts(text: str) -> set[str]:
+@functools.lru_cache(100_000)
+def scripts(text: str) -> frozenset[str]:
+    return frozenset(_scripts(text))
+
+
+def _scripts(text: str) -> set[str]:
     return {unicodedata.name(c, "?").split(" ", 1)[0] for c in text if c.isalpha()}
 
 
+@functools.lru_cache(100_000)
 def natural(run: str) -> bool:
     """Whether a run reads like a word or a part of one: letters of one script, capitals only where words have them."""
     return run.isalpha() and len(scripts(run)) == 1 and (run.islower() or run.isupper() or run[1:].islower() or run.upper() == run.lower())
@@ -154,6 +243,26 @@ def ideographic(text: str) -> bool:
     return all("\u3000" <= c <= "\u9fff" or "\uff00" <= c <= "\uffef" for c in text)
 
 
+@functools.lru_cache(200_000)
+def _as_utf8(run: str, pairs: tuple[str, ...]) -> str | None:
+    """A run undone by the first transformation under which it reads as UTF-8."""
+    for p in pairs:
+        new = undo(run, p)
+        if new is not None and len(new) < len(run) and len(scripts(new)) < 2:
+            return new
+    return None
+
+
+@functools.lru_cache(200_000)
+def _as_double(run: str, pairs: tuple[str, ...]) -> str | None:
+    """A run undone by the first transformation that makes ideographs of all of it."""
+    for p in pairs:
+        new = undo(run, p)
+        if new is not None and ideographic(new):
+            return new
+    return None
+
+
 def repaired(text: str, pairs: list[str], wide: list[str]) -> str:
     """``text`` with every run undone that reads as UTF-8 under a learned transformation, the first that holds.
 
@@ -161,27 +270,24 @@ def repaired(text: str, pairs: list[str], wide: list[str]) -> str:
     also tried as double-byte text (``wide``), where all of it must come out as ideographs.
     """
     sure = False
+    narrow, double = tuple(pairs), tuple(wide)
 
     def one(m: re.Match) -> str:
         nonlocal sure
         run = m.group()
         if len(run) < 2:
             return run
-        for p in pairs:
-            new = undo(run, p)
-            if new is not None and len(new) < len(run) and len(scripts(new)) < 2:
-                a, b = m.start(), m.end()
-                while a and text[a - 1].isalpha():
-                    a -= 1
-                while b < len(text) and text[b].isalpha():
-                    b += 1
-                sure = sure or not natural(text[a:b])
-                return new
-        for p in wide if len(run) >= 6 else ():
-            new = undo(run, p)
-            if new is not None and ideographic(new):
-                sure = True
-                return new
+        if (new := _as_utf8(run, narrow)) is not None:
+            a, b = m.start(), m.end()
+            while a and text[a - 1].isalpha():
+                a -= 1
+            while b < len(text) and text[b].isalpha():
+                b += 1
+            sure = sure or not natural(text[a:b])
+            return new
+        if len(run) >= 6 and double and (new := _as_double(run, double)) is not None:
+            sure = True
+            return new
         return run
 
     new = RUN.sub(one, text)
@@ -210,10 +316,10 @@ def reads_as_utf8(word: str) -> bool:
     """Whether a run of ``word``, which doesn't read like a word itself, is UTF-8 under some reading."""
     if natural(word):
         return False
-    for run in RUN.findall(word):
-        if len(run) > 1 and any((new := undo(run, p)) is not None and len(new) < len(run) and len(scripts(new)) < 2 for p in UTF8_PAIRS):
-            return True
-    return False
+    return any(len(run) > 1 and _as_utf8(run, _UTF8) is not None for run in RUN.findall(word))
+
+
+_UTF8 = tuple(UTF8_PAIRS)
 
 
 def edges(word: str) -> list[str]:
@@ -318,12 +424,15 @@ def supported(pairs: DataFrame) -> list[str]:
 def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``domain``, ``field``, ``kind``, ``text``, ``restored`` of each damaged text; ``restored`` keeps what can't be recovered.
 
+    Kinds: ``decoded`` and ``respelt`` by learned transformations (runs of UTF-8; single bytes), ``filled`` from a twin that has
+    letters where the text has marks, ``lost`` for marks and controls no twin tells the letters of.
+
     Transformations are learned from all texts; with ``only``, they are applied to those of its texts.
     """
-    every = metadata_texts.select("domain", "field", "text")
+    every = cut(metadata_texts.select("domain", "field", "text").filter(F.col("text").rlike(ODD + r"|\?")))  # plain texts have nothing to learn or find
     counts = cut(spellings(every))
     pairs = cut(learn(every, counts))
-    texts = only.select("domain", "field", "text") if only is not None else every
+    texts = only.select("domain", "field", "text").filter(F.col("text").rlike(ODD + r"|\?")) if only is not None else every
     learned = supported(pairs)
     utf8 = [p for p in learned if p.startswith("utf8")]
     wide = [p for p in learned if p.split(">")[0] in WIDE]
@@ -356,7 +465,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
             if any(p in single for p in e):
                 out.append(("respelt", min(rank[p] for p in e if p in single)))
             elif ("?" in w or LOST in w) and holes_match(w, t):
-                out.append(("lost", 0))
+                out.append(("filled", 0))
             else:
                 out.append((None, 0))
         return pd.DataFrame(out, columns=["kind", "rank"])
@@ -373,16 +482,15 @@ def holes_match(word: str, twin: str) -> bool:
     return HOLE.split(word) == RUN.split(twin)
 
 
-def _around(texts: DataFrame) -> DataFrame:
-    """``domain``, ``field``, ``token``, ``before``, ``after`` of the tokens of texts with marks or signs."""
-    tokens = texts.filter(F.col("text").rlike(r"\?|" + ODD)).select("domain", "field", F.split("text", r"[ \t\r\n]+").alias("t"))
-    at = tokens.select("domain", "field", "t", F.explode(F.sequence(F.lit(1), F.size("t"))).alias("i"))
-    token = F.element_at("t", F.col("i"))
-    return at.select(
-        "domain", "field", token.alias("token"),
-        F.when(F.col("i") > 1, F.element_at("t", F.greatest(F.col("i") - 1, F.lit(1)))).alias("before"),
-        F.when(F.col("i") < F.size("t"), F.element_at("t", F.least(F.col("i") + 1, F.size("t")))).alias("after"),
-    )
+MARKED = r"^[.,;:()\"'\-]*\?[?.,;:()\"'\-]*\?[?.,;:()\"'\-0-9]*$|\?{4,}|\?\?+[0-9A-Za-z]|^[^A-Za-z?]*\?{2,}[^A-Za-z]*\?"
+
+
+def _around(texts: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
+    """``domain``, ``field``, ``token``, ``before``, ``after`` of the wanted tokens."""
+    t = F.split("text", r"[ \t\r\n]+")
+    none = F.array(F.lit(None).cast("string"))
+    three = F.arrays_zip(t.alias("token"), F.concat(none, t).alias("before"), F.concat(F.slice(t, 2, F.size(t)), none).alias("after"))
+    return texts.select("domain", "field", F.explode(F.filter(three, lambda x: wanted(x["token"]))).alias("x")).select("domain", "field", "x.token", "x.before", "x.after")
 
 
 def lone_marks(texts: DataFrame, every: DataFrame) -> DataFrame:
@@ -391,11 +499,10 @@ def lone_marks(texts: DataFrame, every: DataFrame) -> DataFrame:
     A token of two or more marks by itself, or one mark between two words between which other texts, of ``every``, have a
     sign outside ASCII.
     """
-    around = _around(texts)
-    many = around.filter(F.col("token").rlike(r"^[.,;:()\"'\-]*\?[?.,;:()\"'\-]*\?[?.,;:()\"'\-0-9]*$|\?{4,}|\?\?+[0-9A-Za-z]|^[^A-Za-z?]*\?{2,}[^A-Za-z]*\?")).select("domain", "field")
-    signs = _around(every.filter(F.col("text").rlike(ODD))).filter(F.col("token").rlike(r"^[^\x00-\x7f]$")).select("before", "after").distinct()
-    one = around.filter("token = '?'")
-    between = one.join(signs, "after", "left_semi").select("domain", "field")
+    around = _around(texts.filter(F.col("text").contains("?")), lambda t: t.contains("?"))
+    many = around.filter(F.col("token").rlike(MARKED)).select("domain", "field")
+    signs = _around(every.filter(F.col("text").rlike(ODD)), lambda t: t.rlike(r"^[^\x00-\x7f]$")).select("before", "after").distinct()
+    between = around.filter("token = '?'").join(signs, "after", "left_semi").select("domain", "field")
     return many.unionByName(between).distinct()
 
 

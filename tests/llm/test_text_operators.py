@@ -36,7 +36,8 @@ def test_kernel_scores_equal_the_product_of_matrices(model):
     text = ENGLISH[1]
     grams = set().union(*[language.grams(w) for w in set(language.WORD.findall(text.lower()))])
     brute = sum((model.weights[model.ids[g]] for g in grams if g in model.ids), np.zeros(len(model.languages))) / len(grams) ** 0.5
-    assert np.allclose(model.scores([text])[0], brute, atol=1e-5)
+    assert np.allclose(model.scores([language.WORD.findall(ENGLISH[0]), language.WORD.findall(text), []])[1], brute, atol=1e-5)
+    assert np.allclose(model.scores([language.WORD.findall(text)])[0], brute, atol=1e-5)
 
 
 def test_labels():
@@ -153,6 +154,23 @@ def test_undo_is_the_inverse(clean, writer, reader):
     assert mojibake.undo("".join(mojibake.RUN.findall(garbled)), f"utf8>{reader}>1") == "".join(mojibake.RUN.findall(clean))
 
 
+@pytest.mark.parametrize("clean", ["Müller", "Łódź", "São João", "naïve—façade", "Çağla", "żółć", "привет", "€5", "中文文本"])
+def test_alignment_explains_what_undoing_brings_back(clean):
+    for p in mojibake.PAIRS:
+        writer, reader, times = p.split(">")
+        now = clean
+        try:
+            for _ in range(int(times)):
+                data = b"".join(bytes([ord(c)]) if c.isascii() else c.encode("utf-8" if writer == "utf8" else writer) for c in now)
+                now = mojibake._mangled(data, reader)
+        except UnicodeEncodeError:
+            continue
+        if now is None or now == clean or mojibake.RUN.split(now) != mojibake.RUN.split(clean):
+            continue
+        assert p in mojibake.explained(now, clean), p
+        assert all(mojibake.undo(x, p) == y for x, y in zip(mojibake.RUN.findall(now), mojibake.RUN.findall(clean), strict=True) if x != y), p
+
+
 def test_restoring(spark):
     clean = "Wir kümmern uns um Zölle für Käufer"
     rows = [(f"d{i}", "title", clean) for i in range(4)] + [("g", "title", clean.encode().decode("cp1252")), ("q", "title", clean.replace("ü", "?")), ("n", "title", None), ("e", "title", ""), ("w", "title", "Who? Where?? Here – “there”")]
