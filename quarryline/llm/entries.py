@@ -124,6 +124,7 @@ def token_matches(found: DataFrame, vocabulary: DataFrame, mode: str) -> DataFra
     def worth(a: pd.Series, b: pd.Series, generic: pd.Series) -> pd.Series:
         return pd.Series([similarity(x, y, g, mode) for x, y, g in zip(a, b, generic, strict=True)], dtype="float64")
 
+    worth = worth.asNondeterministic()  # else the filter on its result makes it run twice
     left = found.select("token", F.explode(_deletions("token")).alias("key"))
     right = vocabulary.select("word", "generic", F.explode(_deletions("word")).alias("key"))
     near = left.join(right, "key").select("token", "word", "generic")

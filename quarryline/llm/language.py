@@ -94,6 +94,8 @@ def grams(word: str) -> set[str]:
 
 #: A segment of this many words is a whole sentence; a longer one tells its language by itself.
 WHOLE, CLEAR_WORDS = 3, 4
+#: So many texts are scored as one matrix.
+BATCH = 2000
 #: So much better another language than that of the text must score for a segment; more for one that is short.
 MARGIN, SHORT_MARGIN = 0.15, 0.45
 
@@ -155,6 +157,8 @@ class Classifier:
 
         A segment too short to tell, or one that tells little, takes the language of the text if that scores nearly as well.
         """
+        if len(texts) > BATCH:
+            return [f for i in range(0, len(texts), BATCH) for f in self.segments(texts[i : i + BATCH])]
         parts: list[tuple[int, str, list[str], int]] = []
         for i, t in enumerate(texts):
             for p in sentences(t) if t else ():
@@ -274,6 +278,8 @@ def with_languages(df: DataFrame, column: str, model: Classifier) -> DataFrame:
         found = model.segments(list(texts))
         return pd.DataFrame({"every": [sorted({l for _, l, _, _ in f}) for f in found], "whole": [sorted({l for _, l, _, w in f if w}) for f in found]})
 
+    # else a filter on the result is moved below other steps and the languages are found twice
+    sets = sets.asNondeterministic()
     return df.withColumn("__l", sets(F.col(column))).select(*[c for c in df.columns if c not in ("every", "whole")], "__l.*")
 
 
@@ -293,10 +299,10 @@ def with_language(df: DataFrame, segments: str = "segments", language: str = "de
 
 def suspects(metadata: DataFrame, model: Classifier) -> DataFrame:
     """``domain``, ``whole``: domains whose description is unlabelled, wrongly labelled or mixed, with the languages of its whole sentences."""
-    rows = metadata.select("domain", "language", "description").filter("description is not null and trim(description) <> ''").distinct()
+    rows = metadata.select("domain", "language", "description").filter("description is not null and trim(description) <> ''")
     cases = with_languages(rows, "description", model).select("domain", "every", "whole", _label(F.col("language")).alias("named"))
     wrong = F.col("named").isNull() | ~F.array_contains("every", F.col("named")) | (F.size("whole") > 1)
-    return cases.filter(wrong).select("domain", "whole")
+    return cases.filter(wrong).select("domain", "whole").distinct()
 
 
 def misdeclared(cases: DataFrame, excluded: DataFrame) -> DataFrame:

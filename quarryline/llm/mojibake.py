@@ -452,6 +452,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
             rows.append((kind, new))
         return pd.DataFrame(rows, columns=["kind", "restored"])
 
+    runs = runs.asNondeterministic()  # else the filter on its result makes it run twice
     odd = texts.filter(F.col("text").rlike(ODD))
     by_run = odd.select("domain", "field", runs("text").alias("r")).select("domain", "field", "r.*").filter("kind is not null")
 
@@ -470,6 +471,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
                 out.append((None, 0))
         return pd.DataFrame(out, columns=["kind", "rank"])
 
+    word_kind = word_kind.asNondeterministic()
     pairs = pairs.unionByName(undone(counts, [p for p in ranked if p.split(">")[0] not in WIDE])) if ranked else pairs
     ranks = pairs.withColumn("k", word_kind("word", "twin", "pairs")).filter("k.kind is not null").join(counts.select(F.col("word").alias("twin"), "n"), "twin", "left")
     garbled = ranks.groupBy("word").agg(F.min_by("twin", F.struct("k.kind", "k.rank", -F.col("n"), "twin")).alias("twin"), F.min("k.kind").alias("kind"))
