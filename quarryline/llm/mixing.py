@@ -10,6 +10,9 @@ one by one. So the sample is exact to one text, and no source is brought into on
 Exact copies of a text are one text (its first row stands for it), so copies don't get around the cap. The
 targets are a short list; one row per source reaches the driver.
 
+The report says for each source whether its share was reached (within ``TOLERANCE`` of it, and never without texts) and
+the largest total at which every target can hold.
+
 Defined results: rows without a source, or with one that is no target, and blank texts are not used; a target
 without texts is reported with 0 reached; null targets count as 0, null caps as 1; targets that don't sum to 1
 are scaled; ties of the hash are broken by identifier; empty tables give empty selections.
@@ -26,6 +29,8 @@ from quarryline.llm.tokens import TOKENIZER, token_count
 from quarryline.session import cut
 
 BUCKETS = 4096
+#: A share counts as reached within this part of it.
+TOLERANCE = 0.01
 #: More target sources than this are refused; the list is a parameter of a mix, not data.
 MOST_TARGETS = 10_000
 
@@ -98,5 +103,10 @@ def mixed(documents: DataFrame, targets: DataFrame, total_tokens: int | None = N
     report = wanted.join(used, "source", "left").na.fill({"used_tokens": 0, "most_uses": 0, "texts": 0})
     all_used = report.agg(F.sum("used_tokens").alias("all_used"))
     report = report.join(all_used, F.lit(True)).withColumn("reached_share", F.when(F.col("all_used") > 0, F.round(F.col("used_tokens") / F.col("all_used"), 6)).otherwise(0.0))
-    report = report.withColumn("is_reached", F.abs(F.col("reached_share") - F.col("target_share")) <= 0.01)
-    return selection, report.select("source", "target_share", "reached_share", "is_reached", "max_repeats", "most_uses", "texts", "available", "used_tokens")
+    wanted_any = F.col("target_share") > 0
+    close = F.abs(F.col("reached_share") - F.col("target_share")) <= TOLERANCE * F.col("target_share")
+    report = report.withColumn("is_reached", F.when(wanted_any, (F.col("used_tokens") > 0) & close).otherwise(F.col("used_tokens") == 0))
+    # past this total some source can't hold its share, however the texts are repeated
+    most = report.filter(wanted_any).agg(F.floor(F.coalesce(F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")), F.lit(0.0)) + F.lit(1e-6)).cast("long").alias("largest_total"))
+    report = report.join(most, F.lit(True))
+    return selection, report.select("source", "target_share", "reached_share", "is_reached", "max_repeats", "most_uses", "texts", "available", "used_tokens", "largest_total")

@@ -175,6 +175,17 @@ def test_packing(spark):
     assert packing.packed(docs.limit(0), specs).count() == 0
 
 
+def test_packing_leaves_little_space():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    sizes = np.minimum(511, rng.lognormal(5, 0.8, 5000).astype(int))
+    frame = pd.DataFrame({"spec": "a", "capacity": 512, "key": 0, "doc_id": range(5000), "piece": 0, "token_start": 0, "tokens": sizes})
+    out = pd.concat(packing.pack_sorted(iter([frame[:2500], frame[2500:]])))
+    assert len(out) == 5000 and out.groupby("container").tokens.sum().max() <= 512
+    assert out.container.nunique() <= 1.02 * sizes.sum() / 512 + 1
+
+
 def test_water_fill():
     got = mixing.water_fill({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 10.0, "b": 1000.0, "c": 1000.0}, 100.0)
     assert got == pytest.approx({"a": 10.0, "b": 54.0, "c": 36.0})
@@ -190,6 +201,11 @@ def test_mixing(spark):
     assert {uses[1000 + i] for i in range(3)} == {3} and not set(uses) & {2000, 2001, 2002, 2003, 2004} and max(uses.values()) <= 3
     out = {r.source: r for r in report.collect()}
     assert out["none"].used_tokens == 0 and not out["none"].is_reached and abs(sum(r.used_tokens for r in out.values()) - 1000) < 20
+    assert {r.largest_total for r in out.values()} == {0}  # a target without texts holds at no total
+    two = targets.filter("source <> 'none'")
+    _, small = mixing.mixed(docs, two, total_tokens=10)
+    room = small.filter("source = 'small'").collect()[0]
+    assert room.largest_total == int(room.available * 3 / 0.4) and room.target_share == 0.4
     again = {r.doc_id: r.uses for r in mixing.mixed(docs, targets, total_tokens=1000)[0].collect()}
     assert again == uses
     assert mixing.mixed(docs.limit(0), targets)[0].count() == 0

@@ -119,6 +119,17 @@ def test_residue_fields(spark):
 # ---- look-alikes ---------------------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize(("text", "form"), [("Ꭺargo", "Aargo"), ("סargo", "oargo"), ("Ⲁcme", "Acme"), ("日本語カタカナ", None), ("ひらがな漢字", None), ("한국 漢字", None), ("Σoftware", None)])
+def test_script_sets_are_intersected(text, form):
+    assert lookalikes.canonical(text) == (form or text, form is not None)
+
+
+def test_resolved_script_sets():
+    assert lookalikes.resolved("カタ漢字") == {"Jpan"} and lookalikes.resolved("12-") is None and lookalikes.resolved("Cаrgo") == frozenset()
+    assert lookalikes.read_confusables(["0531 ; 0055 ; MA # x", "# none", "0441 0442 ; 0063 ; MA"]) == {"\u0531": "U"}
+    assert lookalikes.canonical("\u0531ber", {"\u0531": "U"}) == ("Uber", True)
+
+
 @pytest.mark.parametrize(
     ("text", "form"),
     [("ｃａｆｅ", "cafe"), ("jo@p​ost.example", "jo@post.example"), ("exаmple.cоm", "example.com"), ("Zoë", "Zoë"), ("a\u00a0b", "a b"), ("tel‑1", "tel-1"), ("ﬁne", "fine"), ("Вepa Caxapов", None), ("со@post.example", "co@post.example")],
