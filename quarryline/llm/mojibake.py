@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.llm.spread import broadcast_checked
 from quarryline.session import cut
 
 # Candidate encodings: UTF-8 read as one of READERS; or written in one of WRITERS and read as one of MISREADERS.
@@ -213,10 +214,16 @@ def _originals(words: pd.Series) -> pd.Series:
     return pd.Series([originals(w, SINGLE_PAIRS) for w in words], dtype=object)
 
 
+def has_odd(c: str | Column) -> Column:
+    """Whether a text has a character outside ASCII: more bytes than characters."""
+    return F.octet_length(c) > F.length(c)
+
+
 def words_of(texts: DataFrame) -> DataFrame:
     """``domain``, ``field``, ``word``: the words with odd characters or question marks, without outer ASCII punctuation."""
-    word = F.explode(F.array_distinct(F.split("text", r"[ \t\r\n]+"))).alias("raw")
-    out = texts.filter(F.col("text").rlike(ODD + r"|\?")).select("domain", "field", word).filter(F.col("raw").rlike(ODD + r"|\?."))
+    mark = F.locate("?", F.col("raw"))
+    out = texts.filter(has_odd("text") | F.col("text").contains("?")).select("domain", "field", F.explode(F.array_distinct(F.split("text", r"[ \t\r\n]+"))).alias("raw"))
+    out = out.filter(has_odd("raw") | (mark > 0) & (mark < F.length("raw")))
     clauses = F.filter(F.split("raw", r"[^\x{4e00}-\x{9fff}]+"), lambda c: F.length(c) >= 3)
     each = F.explode(F.concat(F.array("raw"), F.when(F.col("raw").rlike(r"[\x{4e00}-\x{9fff}]{3}"), F.array_distinct(clauses)).otherwise(F.array().cast("array<string>")))).alias("raw")
     out = out.select("domain", "field", each)
@@ -429,10 +436,10 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
 
     Transformations are learned from all texts; with ``only``, they are applied to those of its texts.
     """
-    every = cut(metadata_texts.select("domain", "field", "text").filter(F.col("text").rlike(ODD + r"|\?")))  # plain texts have nothing to learn or find
+    every = cut(metadata_texts.select("domain", "field", "text").filter(has_odd("text") | F.col("text").contains("?")))  # plain texts have nothing to learn or find
     counts = cut(spellings(every))
     pairs = cut(learn(every, counts))
-    texts = only.select("domain", "field", "text").filter(F.col("text").rlike(ODD + r"|\?")) if only is not None else every
+    texts = only.select("domain", "field", "text").filter(has_odd("text") | F.col("text").contains("?")) if only is not None else every
     learned = supported(pairs)
     utf8 = [p for p in learned if p.startswith("utf8")]
     wide = [p for p in learned if p.split(">")[0] in WIDE]
@@ -453,7 +460,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
         return pd.DataFrame(rows, columns=["kind", "restored"])
 
     runs = runs.asNondeterministic()  # else the filter on its result makes it run twice
-    odd = texts.filter(F.col("text").rlike(ODD))
+    odd = texts.filter(has_odd("text"))
     by_run = odd.select("domain", "field", runs("text").alias("r")).select("domain", "field", "r.*").filter("kind is not null")
 
     # words with a twin: single-byte confusions that were learned, and holes where the twin has letters
@@ -475,7 +482,7 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     pairs = pairs.unionByName(undone(counts, [p for p in ranked if p.split(">")[0] not in WIDE])) if ranked else pairs
     ranks = pairs.withColumn("k", word_kind("word", "twin", "pairs")).filter("k.kind is not null").join(counts.select(F.col("word").alias("twin"), "n"), "twin", "left")
     garbled = ranks.groupBy("word").agg(F.min_by("twin", F.struct("k.kind", "k.rank", -F.col("n"), "twin")).alias("twin"), F.min("k.kind").alias("kind"))
-    hits = words_of(texts).join(garbled, "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
+    hits = words_of(texts).join(broadcast_checked(cut(garbled)), "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
     return _join_found(texts, by_run, hits, lone_marks(texts, every))
 
 
@@ -503,7 +510,7 @@ def lone_marks(texts: DataFrame, every: DataFrame) -> DataFrame:
     """
     around = _around(texts.filter(F.col("text").contains("?")), lambda t: t.contains("?"))
     many = around.filter(F.col("token").rlike(MARKED)).select("domain", "field")
-    signs = _around(every.filter(F.col("text").rlike(ODD)), lambda t: t.rlike(r"^[^\x00-\x7f]$")).select("before", "after").distinct()
+    signs = _around(every.filter(has_odd("text")), lambda t: (F.length(t) == 1) & has_odd(t)).select("before", "after").distinct()
     between = around.filter("token = '?'").join(signs, "after", "left_semi").select("domain", "field")
     return many.unionByName(between).distinct()
 
