@@ -1,10 +1,12 @@
 """Keyword categories of domain names, as higher-order expressions.
 
-The keyword lists are a parameter; ``STARTER`` is a short list to begin with.
+The keyword lists are a parameter: ``read_lists`` takes them from a file, ``STARTER`` is a short list to begin with.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ STARTER: dict[str, list[str]] = {
 SUFFIX = r"\.(co\.in|co\.uk|com\.au|com\.br|co\.za|co\.nz|co\.jp|com|net|org|biz|info|io|ai|tech|dev|co|in|us|uk|au|ca|de|fr|jp|br|ru|cn|nz|eu)$"
 
 
+def read_lists(lines: Iterable[str]) -> dict[str, list[str]]:
+    """Keyword lists from lines ``category: word, word``; several lines of a category add up, ``#`` starts a remark. The order of the categories decides ties."""
+    out: dict[str, list[str]] = {}
+    for line in lines:
+        name, sep, words = line.split("#", 1)[0].partition(":")
+        if sep:
+            known = out.setdefault(name.strip().lower(), [])
+            known += [w for w in dict.fromkeys(x.strip().lower() for x in words.split(",")) if w and w not in known]
+    return out
+
+
 def name_tokens(domain: str | Column, lists: dict[str, list[str]] = STARTER) -> Column:
     """Words of a domain name and the keywords inside its long words, without doubles, three letters or more."""
     d = F.col(domain) if isinstance(domain, str) else domain

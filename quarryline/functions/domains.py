@@ -13,7 +13,18 @@ BLOCKED_SUFFIXES = [
     ".azurewebsites.net", ".azurestaticapps.net", ".amplifyapp.com", ".surge.sh", ".fly.dev", ".railway.app", ".replit.app", ".repl.co", ".glitch.me", ".pythonanywhere.com", ".blogspot.com",
     ".blogspot.in", ".wordpress.com", ".wixsite.com", ".wix.com", ".squarespace.com", ".weebly.com", ".carrd.co", ".webflow.io", ".bubble.io", ".framer.app", ".framer.website", ".myshopify.com", ".substack.com",
 ]
+# Second labels under which firms register.
 SECOND_LEVEL = ["co", "com", "org", "net", "edu", "gov"]
+# The lists of the certificate source.
+CERTIFICATE_TLDS = [".com", ".org", ".net", ".info", ".biz", ".io", ".ai", ".tech", ".dev", ".co", ".in", ".us", ".uk", ".ca", ".au", ".de", ".fr", ".sg", ".ae", ".cn", ".jp", ".br", ".mx", ".za", ".nz", ".eu"]
+CERTIFICATE_TWO_LEVEL = [".co.in", ".com.au", ".co.uk", ".com.br", ".co.za", ".co.nz", ".co.jp"]
+CERTIFICATE_BLOCKED = [
+    ".vercel.app", ".netlify.app", ".netlify.com", ".onrender.com", ".render.com", ".herokuapp.com", ".github.io", ".gitlab.io", ".bitbucket.io", ".pages.dev", ".web.app", ".firebaseapp.com", ".azurewebsites.net", ".azurestaticapps.net",
+    ".amplifyapp.com", ".surge.sh", ".fly.dev", ".railway.app", ".replit.app", ".repl.co", ".glitch.me", ".pythonanywhere.com", ".blogspot.com", ".wordpress.com", ".wixsite.com", ".squarespace.com", ".weebly.com", ".webflow.io",
+    ".bubble.io", ".myshopify.com", ".substack.com", ".carrd.co",
+]
+# Two-level endings a histogram of top-level domains tells apart.
+TWO_LEVEL = [".com.au", ".co.uk", ".co.in", ".co.nz", ".co.jp"]
 # Path patterns in their order, with the priority of the page.
 PAGE_PRIORITY = [
     ("contact[_\\-]?us", 12), ("contacts", 11), ("contact", 10), ("reach[_\\-]?us", 10), ("get[_\\-]?in[_\\-]?touch", 10), ("enquir", 9), ("inquir", 9), ("support", 7), ("our[_\\-]?team", 11),
@@ -53,24 +64,39 @@ def root_domain(value: str | Column) -> Column:
     return F.when((n > 2) & second.isin(SECOND_LEVEL), last(3)).when(n >= 2, last(2)).otherwise(bare)
 
 
+def _ends_with_any(c: Column, endings: list[str]) -> Column:
+    out = F.lit(False)
+    for e in endings:
+        out = out | F.endswith(c, F.lit(e))
+    return out
+
+
 def certificate_root(name: str | Column) -> Column:
-    """The registrable domain of a certificate name; null for addresses, bare names and hosts too short."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(F.trim(_col(name))), r"^\*\.", ""), r"^(https?://)?(www\.)?", "")
-    bare = F.element_at(F.split(bare, "[/:]"), 1)
-    ok = ~bare.rlike(r"^[0-9.]+$") & F.contains(bare, F.lit(".")) & (F.length(bare) > 3)
-    return F.when(ok, root_domain(bare))
+    """The registrable domain of a certificate name; null for addresses, bare names, names too short or too long, endings a corpus doesn't admit and hosting services.
+
+    Three labels are kept under a two-level ending, which is admitted whatever its last label.
+    """
+    bare = F.regexp_replace(F.lower(F.trim(_col(name))), r"^\*\.", "")
+    host_part = F.regexp_extract(bare, r"^.*?://([^/?#]*)", 1)
+    bare = F.regexp_replace(F.when(host_part != "", host_part).otherwise(bare), r"^www\.", "")
+    labels = F.split(bare, r"\.")
+    last = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
+    ok = ~bare.rlike(r"^\d+\.\d+\.\d+\.\d+$") & F.contains(bare, F.lit(".")) & F.length(bare).between(4, 253)
+    two = (F.size(labels) >= 3) & F.concat(F.lit("."), last(2)).isin(CERTIFICATE_TWO_LEVEL) & ~_ends_with_any(last(3), CERTIFICATE_BLOCKED)
+    one = F.concat(F.lit("."), F.element_at(labels, -1)).isin(CERTIFICATE_TLDS) & (F.length(last(2)) >= 4) & ~_ends_with_any(last(2), CERTIFICATE_BLOCKED)
+    return F.when(ok & two, last(3)).when(ok & one, last(2))
 
 
 def zone_domain(line: str | Column) -> Column:
     """The owner of a zone-file line: first token, lowered, without its final dot; null if it is no domain."""
-    token = F.regexp_replace(F.lower(F.element_at(F.split(F.trim(_col(line)), r"\s+"), 1)), r"\.$", "")
+    token = F.regexp_replace(F.lower(F.element_at(F.split(F.regexp_replace(_col(line), r"^\s+", ""), r"\s+"), 1)), r"\.$", "")
     return F.when(F.contains(token, F.lit(".")) & (F.length(token) >= 4), token)
 
 
 def tld(domain: str | Column) -> Column:
     """The top-level domain with its dot, two-level ones first."""
     d = _col(domain)
-    two = F.regexp_extract(d, r"(\.(?:co\.in|co\.uk|com\.au|com\.br|co\.za))$", 1)
+    two = F.regexp_extract(d, "(" + "|".join(t.replace(".", r"\.") for t in TWO_LEVEL) + ")$", 1)
     return F.when(two != "", two).otherwise(F.regexp_extract(d, r"(\.[^.]*)$", 1))
 
 
@@ -84,8 +110,24 @@ def url_score(url: str | Column) -> Column:
     return out.otherwise(0)
 
 
-def round_robin(order: Column, shards: int = 300) -> Column:
-    """Shard numbers 1 to ``shards`` dealt in turn."""
-    from pyspark.sql import Window
+# Path parts of pages that list people.
+PEOPLE_PATHS = [
+    "team", "our[-_]?team", "meet[-_]?the[-_]?team", "meet[-_]?our[-_]?team", "team[-_]?members?", "staff", "our[-_]?staff", "people", "our[-_]?people", "about", "about[-_]?us", "about[-_]?the[-_]?company", "who[-_]?we[-_]?are",
+    "company[-_]?profile", "contact", "contacts", "contact[-_]?us", "leadership", "our[-_]?leadership", "leadership[-_]?team", "management", "our[-_]?management", "management[-_]?team", "executives?", "executive[-_]?team", "founders?",
+    "directors?", "board[-_]?of[-_]?directors?", "board", "partners?", "profile", "profiles", "bio", "bios", "biography", "member", "members", "experts?", "specialists?", "consultants?", "advisors?", "imprint", "impressum", "office",
+    "offices", "locations?",
+]
+PEOPLE_SCORE = 8
+_PEOPLE = "(?i)/(" + "|".join(PEOPLE_PATHS) + r")([/?#.\-]|$)"
+
+
+def lists_people(url: str | Column) -> Column:
+    """Whether a page is one that people are looked for on: by its path, or by its priority."""
+    return F.coalesce(_col(url).rlike(_PEOPLE), F.lit(False)) | (url_score(url) >= PEOPLE_SCORE)
+
 
-    return (F.row_number().over(Window.orderBy(order)) - 1) % shards + 1
+def ranked_links(links: Column, most: int | None = None) -> Column:
+    """The links with a priority, best first, ties by address from the end of the alphabet; at most ``most``."""
+    scored = F.filter(F.transform(F.array_distinct(links), lambda u: F.struct(url_score(u).alias("score"), u.alias("url"))), lambda x: x["score"] > 0)
+    order = F.reverse(F.array_sort(scored))
+    return F.slice(order, 1, most) if most is not None else order

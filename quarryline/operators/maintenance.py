@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Outcomes that a retry would not change.
-FINAL_ERRORS = [f"connection_failed_{code}" for code in (429, 403, 500, 200, 503, 404, 522, 502, 406, 408)]
+FINAL_ERRORS = [
+    "connection_failed_429", "connection_failed_403", "connection_failed_500", "connection_failed_200", "connection_failed_503", "connection_failed_404", "connection_failed_522", "connection_failed_502", "connection_failed_406", "connection_failed_408",
+]
 FINAL_PREFIX = "A child process terminated abruptly"
 
 
@@ -74,3 +76,10 @@ def copy_columns(source: DataFrame, target: DataFrame) -> DataFrame:
     shared = [c for c in target.columns if c in set(source.columns)]
     kinds = dict(target.dtypes)
     return source.select(*[F.col(c).cast(kinds[c]).alias(c) for c in shared])
+
+
+def split_bad(rows: DataFrame, schema: str, key: str, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """JSON rows as records and the rows that are none or lack their key: bad data is put aside, so that only transient failures are tried again."""
+    parsed = rows.withColumn("__r", F.from_json(column, f"{schema}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}))
+    good = F.col("__r.__bad").isNull() & F.col(f"__r.{key}").isNotNull()
+    return parsed.filter(good).select("__r.*").drop("__bad"), parsed.filter(~F.coalesce(good, F.lit(False))).drop("__r")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.session import cut
+
 # What negative status codes stand for.
 STATUS_LABELS = {200: "OK", -1: "timeout", -2: "dns", -3: "connection", -4: "ssl", -5: "redirects", -6: "other"}
 
@@ -76,11 +78,46 @@ def latest(df: DataFrame, by: str, n: int = 10) -> DataFrame:
 
 
 def rolling_errors(df: DataFrame, order: str, is_error: Column, items: int = 500, warn: int = 400) -> DataFrame:
-    """Errors among the last ``items`` rows, and whether that passes the warning mark."""
-    from pyspark.sql import Window
-
-    window = Window.orderBy(order).rowsBetween(-(items - 1), 0)
-    return df.withColumn("recent_errors", F.sum(is_error.cast("int")).over(window)).withColumn("warn", F.col("recent_errors") > warn)
+    """Errors among the last ``items`` rows, and whether that passes the warning mark.
+
+    The sum of a window is the difference of two running sums, so no window spans the table; ``order`` has no ties.
+    """
+    from quarryline.operators.ranks import running
+
+    summed = cut(running(df, [F.col(order)], is_error.cast("int"), "__n", "__sum"))
+    back = summed.select((F.col("__n") + items).alias("__n"), F.col("__sum").alias("__before"))
+    out = summed.join(back, "__n", "left").withColumn("recent_errors", F.col("__sum") - F.coalesce("__before", F.lit(0)))
+    return out.withColumn("warn", F.col("recent_errors") > warn).drop("__n", "__sum", "__before")
+
+
+def progress(df: DataFrame, pending: int, seconds: float) -> DataFrame:
+    """Progress of a crawl from its status rows: one row with rate, minutes left, contacts, errors and their share, and rows by outcome."""
+    kind = error_class()
+    n = F.count(F.lit(1))
+    kinds = ["success", "dns_fail", "timeout", "conn_error", "ssl_error", "other"]
+    counted = df.agg(n.alias("crawled"), F.coalesce(F.sum("contacts_found"), F.lit(0)).alias("contacts"), *[F.count_if(kind == k).alias(k) for k in kinds])
+    errors = F.col("crawled") - F.col("success")
+    rate = F.col("crawled") / F.lit(float(seconds)) if seconds > 0 else F.lit(0.0)
+    left = F.greatest(F.lit(pending) - F.col("crawled"), F.lit(0))
+    return counted.withColumns(
+        {
+            "rate": F.round(rate, 1), "minutes_left": F.when(rate > 0, F.round(left / rate / 60, 0)).otherwise(F.lit(0.0)),
+            "errors": errors, "error_pct": F.when(F.col("crawled") > 0, F.round(errors * 100.0 / F.col("crawled"), 1)).otherwise(F.lit(0.0)),
+        }
+    )
+
+
+def insights(cards: DataFrame, order: list[Column], sample: int = 20, most: int = 5) -> DataFrame:
+    """``kind``, ``key``, ``n`` of the first ``sample`` cards: the most frequent categories and places (the text before the first comma), and contacts by kind."""
+    few = cards.orderBy(*order).limit(sample)
+    category = few.groupBy(F.lit("category").alias("kind"), F.coalesce(F.nullif("category", F.lit("")), F.lit("unknown")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    place = F.left(F.trim(F.substring_index(F.trim("location"), ",", 1)), F.lit(30))
+    places = few.select(place.alias("key")).filter("key <> ''").groupBy(F.lit("location").alias("kind"), "key").agg(F.count(F.lit(1)).alias("n"))
+    top = lambda d: d.orderBy(F.col("n").desc(), "key").limit(most)
+    kinds = {"email": "email_count", "phone": "phone_count", "linkedin": "linkedin_count"}
+    sums = few.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in kinds.items()])
+    contacts = sums.select(F.explode(F.create_map(*[x for k in kinds for x in (F.lit(k), F.col(k))])).alias("key", "n")).select(F.lit("contact").alias("kind"), "key", "n")
+    return top(category).unionByName(top(places)).unionByName(contacts)
 
 
 def filter_options(metadata: DataFrame, contacts: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from quarryline.functions import contacts as contact_fn
 from quarryline.functions import domains as domain_fn
 from quarryline.functions import fulltext
 from quarryline.functions.categories import STARTER, category
-from quarryline.operators import leads, maintenance, reports, scoring
+from quarryline.operators import leads, maintenance, ranks, reports, scoring
+from quarryline.plans import guard
 from quarryline.sources import sinks
 from quarryline.sources.tables import read_table
 
@@ -71,9 +72,10 @@ def exclude_country_nullable(t):
     return leads.discover(t.meta, leads.Filters(exclude_location="Fereria"), batch=50)
 
 
-@query("SELECT count(*) AS total_matched FROM (SELECT 1 FROM domain_metadata WHERE status_code = 200 AND quality_score > 0 LIMIT 5000)")
+@query("SELECT count(*) AS total_matched, (SELECT count(*) FROM (SELECT 1 FROM domain_metadata WHERE status_code = 200 AND quality_score > 0 LIMIT 100)) AS capped FROM (SELECT 1 FROM domain_metadata WHERE status_code = 200 AND quality_score > 0 LIMIT 5000)")
 def capped_count(t):
-    return leads.capped_count(t.meta.filter("status_code = 200 and quality_score > 0"))
+    found = t.meta.filter("status_code = 200 and quality_score > 0")
+    return leads.capped_count(found).join(leads.capped_count(found, 100).withColumnRenamed("total_matched", "capped"), F.lit(True))
 
 
 @query("""SELECT domain, rn, entity_type, value, label FROM (SELECT domain, entity_type, value, label,
@@ -164,10 +166,15 @@ def fulltext_boolean(t):
     return t.meta.filter(fulltext.match(fulltext.lexemes("title", stemmed=False), "steel -freight", stemmed=False)).select("domain", "title")
 
 
+@query("""SELECT domain, title FROM domain_metadata WHERE contains(' ' || array_to_string(list_filter(regexp_split_to_array(lower(concat_ws(' ', coalesce(title, ''), coalesce(description, ''))), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''), ' ') || ' ', ' steel pipes ')""")
+def fulltext_phrase(t):
+    return t.meta.filter(fulltext.match(fulltext.positions("title", "description", stemmed=False), '"steel pipes"', stemmed=False)).select("domain", "title")
+
+
 @query()
 def fulltext_stemmed(t):
-    vector = fulltext.lexemes("title", "description", "domain", "location", "category")
-    return t.meta.filter(fulltext.match(vector, 'shipping pepper or "steel pipes"', F.lower("description"))).select("domain", "title")
+    vector = fulltext.positions("title", "description", "domain", "location", "category")
+    return t.meta.filter(fulltext.match(vector, 'shipping pepper or "steel pipes"')).select("domain", "title")
 
 
 # ---- scores and counts ---------------------------------------------------------------------------------------
@@ -232,18 +239,27 @@ def pending_count(t):
     return total.join(maintenance.work_list(every, t.crawl).agg(F.count(F.lit(1)).alias("pending")), F.lit(True))
 
 
-@query("SELECT id, domain, entity_type, value FROM (SELECT *, row_number() OVER (PARTITION BY domain, entity_type, value ORDER BY id) AS rn FROM domain_contacts) WHERE rn = 1")
+@query("""SELECT id, domain, entity_type, value FROM domain_contacts WHERE id % 2 = 0 UNION ALL
+    SELECT id, domain, entity_type, value FROM (SELECT *, row_number() OVER (PARTITION BY domain, entity_type, value ORDER BY id) AS rn FROM domain_contacts n WHERE id % 2 = 1) n
+    WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM domain_contacts o WHERE o.id % 2 = 0 AND o.domain = n.domain AND o.entity_type = n.entity_type AND o.value = n.value)""")
 def insert_ignore(t):
-    old = t.contacts.filter("id <= 0").select("id", "domain", "entity_type", "value")
-    return maintenance.insert_ignore(old, t.contacts.select(*old.columns), ["domain", "entity_type", "value"], [F.col("id")])
+    rows = t.contacts.select("id", "domain", "entity_type", "value")  # every row arrives, the even ones first
+    return maintenance.insert_ignore(rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1"), ["domain", "entity_type", "value"], [F.col("id")])
+
 
+LAST = "crawled_at DESC NULLS LAST, status_code DESC NULLS LAST, pages_crawled DESC NULLS LAST, contacts_found DESC NULLS LAST, error_msg DESC NULLS LAST, category DESC NULLS LAST"
+CRAWL = "domain, status_code, pages_crawled, contacts_found, error_msg, crawled_at, category"
 
-@query("""SELECT domain, status_code, pages_crawled, contacts_found, error_msg, crawled_at FROM (SELECT *, row_number() OVER (PARTITION BY domain
-    ORDER BY crawled_at DESC NULLS LAST, status_code DESC NULLS LAST, pages_crawled DESC NULLS LAST, contacts_found DESC NULLS LAST, error_msg DESC NULLS LAST) AS rn FROM domain_crawl_status) WHERE rn = 1""")
+
+@query(f"""WITH last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain, (coalesce(pages_crawled, 0) > 3) ORDER BY {LAST}) AS rn, coalesce(pages_crawled, 0) > 3 AS is_new FROM domain_crawl_status) WHERE rn = 1),
+    old AS (SELECT * FROM last WHERE NOT is_new), new AS (SELECT * FROM last WHERE is_new)
+    SELECT {CRAWL} FROM old WHERE domain NOT IN (SELECT domain FROM new) UNION ALL
+    SELECT n.domain, n.status_code, n.pages_crawled, n.contacts_found, n.error_msg, n.crawled_at, CASE WHEN o.domain IS NULL THEN n.category ELSE o.category END FROM new n LEFT JOIN old o ON o.domain = n.domain""")
 def upsert_last(t):
-    rows = t.crawl.select("domain", "status_code", "pages_crawled", "contacts_found", "error_msg", "crawled_at")
-    order = [F.col(c).desc_nulls_last() for c in ("crawled_at", "status_code", "pages_crawled", "contacts_found", "error_msg")]
-    return maintenance.upsert(rows.filter("false"), rows, ["domain"], order)
+    rows = t.crawl.select(*CRAWL.split(", "))
+    order = [F.col(c).desc_nulls_last() for c in ("crawled_at", "status_code", "pages_crawled", "contacts_found", "error_msg", "category")]
+    late = F.coalesce("pages_crawled", F.lit(0)) > 3  # the rows of a second crawl, say
+    return maintenance.upsert(maintenance.first_arrivals(rows.filter(~late), ["domain"], order), rows.filter(late), ["domain"], order, keep=["category"])
 
 
 @query("""SELECT d.domain, d.last_crawled, d.shard, coalesce(d.category, m.category) AS category FROM domains d
@@ -374,21 +390,67 @@ def emails_in_context(t):
     return t.contacts.filter(F.contains("context", F.lit("@"))).select("id", F.explode(contact_fn.emails("context")).alias("email"))
 
 
-@query("SELECT id, email FROM domain_employees WHERE email IS NOT NULL AND NOT list_contains(['info', 'sales', 'contact', 'support', 'admin', 'hello', 'hi', 'enquiries', 'webmaster', 'careers', 'jobs', 'media', 'team'], lower(string_split(email, '@')[1])) AND string_split(email, '@')[-1] = domain AND len(string_split(domain, '.')) = 3 AND string_split(domain, '.')[2] IN ('co', 'com', 'org', 'net')")
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _root_sql(c: str) -> str:
+    p = f"string_split({c}, '.')"
+    return f"CASE WHEN len({p}) > 2 AND list_contains({_list(domain_fn.SECOND_LEVEL)}, {p}[-2]) THEN {p}[-3] || '.' || {p}[-2] || '.' || {p}[-1] WHEN len({p}) >= 2 THEN {p}[-2] || '.' || {p}[-1] ELSE {c} END"
+
+
+@query(f"""SELECT id, email FROM (SELECT id, email, domain, string_split(email, '@')[1] AS local, string_split(email, '@')[-1] AS mail_host FROM domain_employees WHERE contains(email, '@'))
+    WHERE NOT list_contains({_list(contact_fn.GENERIC)}, lower(local)) AND (({_root_sql("mail_host")}) = ({_root_sql("domain")}) OR list_contains({_list(contact_fn.PERSONAL)}, {_root_sql("mail_host")}))""")
 def own_emails(t):
-    labels = F.split("domain", r"\.")
-    three = (F.size(labels) == 3) & labels[1].isin("co", "com", "org", "net")
-    same = F.element_at(F.split("email", "@"), -1) == F.col("domain")
-    return t.people.filter(contact_fn.is_employee_email("email", "domain") & three & same).select("id", "email")
+    return t.people.filter(contact_fn.is_employee_email("email", "domain")).select("id", "email")
+
 
+# the tables' hosts stand in for the networks'
+HOSTS = {"linkedin": ["linkedin.example"], "twitter": ["twitter.example"], "facebook": ["facebook.example"], "instagram": ["instagram.example"], "youtube": ["youtube.example"], "whatsapp": ["wa.example"]}
+PATHS = contact_fn.SOCIAL_PATHS | {"youtube": [("youtube", "@")], "whatsapp": [("whatsapp", "[0-9]")]}
 
-@query("""SELECT entity_type, kind, count(*) AS cnt FROM (SELECT entity_type, CASE WHEN regexp_matches(value, '(?i)^https?://(?:www\\.)?linkedin\\.(?:com|example)/company/') THEN 'linkedin_company'
-    WHEN regexp_matches(value, '(?i)^https?://(?:www\\.)?linkedin\\.(?:com|example)/(?:in|pub)/') THEN 'linkedin_profile' END AS kind FROM domain_contacts WHERE starts_with(entity_type, 'linkedin')) GROUP BY 1, 2""")
+
+@query(f"""SELECT entity_type, kind, count(*) AS cnt FROM (SELECT entity_type, CASE {" ".join(f"WHEN regexp_matches(value, '{p.replace("'", "''")}') THEN '{k}'" for k, p in contact_fn.social_patterns(HOSTS, PATHS))} END AS kind FROM domain_contacts) GROUP BY 1, 2""")
 def social_kinds(t):
-    rows = t.contacts.filter(F.startswith("entity_type", F.lit("linkedin"))).select("entity_type", contact_fn.social_kind("value").alias("kind"))
+    rows = t.contacts.select("entity_type", contact_fn.social_kind("value", HOSTS, PATHS).alias("kind"))
     return rows.groupBy("entity_type", "kind").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@query(f"SELECT row_number() OVER (ORDER BY domain) AS n, ((row_number() OVER (ORDER BY domain) - 1) % 300 + 1)::INTEGER AS shard, domain FROM (SELECT DISTINCT domain FROM domains)")
+def dealt_shards(t):
+    every = t.domains.select("domain").distinct()
+    return ranks.dealt(ranks.numbered(every, [F.col("domain")]), [F.col("domain")])
+
+
+@query("""SELECT id, recent_errors, recent_errors > 60 AS warn FROM (SELECT id, sum((score IS NULL)::INTEGER) OVER (ORDER BY id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)::BIGINT AS recent_errors FROM domain_contacts)""")
+def rolling_errors(t):
+    return reports.rolling_errors(t.contacts.select("id", "score"), "id", F.col("score").isNull(), items=100, warn=60).drop("score")
+
+
+@query("""SELECT count(*) AS crawled, sum(contacts_found)::BIGINT AS contacts, count(*) FILTER (k = 'success') AS success, count(*) FILTER (k = 'dns_fail') AS dns_fail, count(*) FILTER (k = 'timeout') AS timeout, count(*) FILTER (k = 'conn_error') AS conn_error,
+    count(*) FILTER (k = 'ssl_error') AS ssl_error, count(*) FILTER (k = 'other') AS other, round(count(*) / 100.0::DOUBLE, 1) AS rate, round((1000000 - count(*)) / (count(*) / 100.0::DOUBLE) / 60, 0) AS minutes_left,
+    count(*) FILTER (k <> 'success') AS errors, round(count(*) FILTER (k <> 'success') * 100.0::DOUBLE / count(*), 1) AS error_pct
+    FROM (SELECT *, CASE WHEN status_code = 200 THEN 'success' WHEN status_code = -1 THEN 'timeout' WHEN status_code = -2 THEN 'dns_fail' WHEN status_code IN (-3, -6) THEN 'conn_error' WHEN status_code = -4 THEN 'ssl_error'
+    WHEN contains(coalesce(error_msg, ''), 'connection_failed') THEN 'conn_error' ELSE 'other' END AS k FROM domain_crawl_status)""")
+def crawl_progress(t):
+    return reports.progress(t.crawl, 1_000_000, 100.0)
+
+
+@query("""WITH c AS (SELECT * FROM (SELECT DISTINCT domain, title, description, category, location, email_count, phone_count, linkedin_count, social_count, emp_count, quality_score FROM domain_metadata WHERE status_code = 200 AND quality_score > 0 ORDER BY quality_score DESC, domain LIMIT 50)
+      ORDER BY quality_score DESC, domain LIMIT 20)
+    SELECT * FROM (SELECT 'category' AS kind, coalesce(nullif(category, ''), 'unknown') AS key, count(*) AS n FROM c GROUP BY 2 ORDER BY n DESC, key LIMIT 5)
+    UNION ALL SELECT * FROM (SELECT 'location', key, count(*) AS n FROM (SELECT left(trim(split_part(trim(location), ',', 1)), 30) AS key FROM c) WHERE key <> '' GROUP BY key ORDER BY n DESC, key LIMIT 5)
+    UNION ALL SELECT 'contact', 'email', sum(email_count)::BIGINT FROM c UNION ALL SELECT 'contact', 'phone', sum(phone_count)::BIGINT FROM c UNION ALL SELECT 'contact', 'linkedin', sum(linkedin_count)::BIGINT FROM c""")
+def card_insights(t):
+    return reports.insights(leads.discover(t.meta, leads.Filters(), batch=50), [F.col("quality_score").desc(), F.col("domain")])
+
+
+@query("SELECT domain, max(quality_score) AS best FROM domain_metadata WHERE category = 'exim' GROUP BY domain ORDER BY best DESC NULLS LAST, domain LIMIT 200")
+def guarded_sql(t):
+    t.meta.createOrReplaceTempView("domain_metadata")
+    return guard.run_query(t.spark, "SELECT domain, max(quality_score) AS best FROM domain_metadata WHERE category = 'exim' GROUP BY domain ORDER BY best DESC NULLS LAST, domain LIMIT 5000;")
+
+
 @query("""SELECT id, domain, entity_type, value FROM (SELECT *, row_number() OVER (PARTITION BY domain, entity_type, lower(value) ORDER BY id) AS rn FROM domain_contacts) WHERE rn = 1""")
 def contacts_first_wins(t):
     rows = t.contacts.withColumn("low", F.lower("value"))
@@ -420,3 +482,9 @@ def categorize(t):
 @query("SELECT coalesce(domain, '') AS domain, coalesce(title, '') AS title, coalesce(category, '') AS category, coalesce(location, '') AS location, coalesce(quality_score::VARCHAR, '') AS quality_score, coalesce(email_count::VARCHAR, '') AS email_count, coalesce(phone_count::VARCHAR, '') AS phone_count, coalesce(linkedin_count::VARCHAR, '') AS linkedin_count FROM domain_metadata")
 def csv_rows(t):
     return sinks.for_csv(t.meta, sinks.CARD_COLUMNS)
+
+
+from quarryline.plans import vectors  # noqa: E402
+
+QUERIES |= vectors.QUERIES
+ORACLE |= vectors.ORACLE

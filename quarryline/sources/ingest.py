@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,28 @@ def zone(lines: DataFrame) -> DataFrame:
 
 def keys(spark: SparkSession, values: list[str], name: str = "domain") -> DataFrame:
     """A list of keys as a table, in its order."""
-    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"pos int, {name} string")
+    return from_arrays(spark, **{name: values})
+
+
+def from_arrays(spark: SparkSession, **columns: list) -> DataFrame:
+    """Parameter arrays side by side as a table with their positions; shorter ones end in nulls."""
+    kinds = {str: "string", int: "long", float: "double", bool: "boolean"}
+    lits = [F.lit(v).cast(f"array<{next((kinds[type(x)] for x in v if x is not None), 'string')}>") if v else F.array().cast("array<string>") for v in columns.values()]
+    zipped = F.arrays_zip(*[a.alias(c) for a, c in zip(lits, columns, strict=True)])
+    return spark.range(1).select(F.posexplode(zipped).alias("pos", "x")).select("pos", *[F.col(f"x.{c}") for c in columns])
+
+
+def has_table(spark: SparkSession, name: str, columns: list[str] = ()) -> bool:
+    """Whether a table is known and has the columns."""
+    return spark.catalog.tableExists(name) and set(columns) <= set(spark.table(name).columns)
+
+
+def write_table_over_jdbc(df: DataFrame, url: str, table: str, batch: int = 50_000, **options: str) -> None:
+    """Rows appended to a relational table, a batch per round trip."""
+    writer = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table).option("batchsize", batch)
+    for name, value in options.items():
+        writer = writer.option(name, value)
+    writer.save()
 
 
 def read_table_over_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, pieces: int, **options: str) -> DataFrame:
@@ -53,10 +74,26 @@ def read_table_over_jdbc(spark: SparkSession, url: str, table: str, key: str, lo
     return reader.load()
 
 
+TEXT_FIELDS = ("title", "description", "language", "location")
+# Answers after which a fetch is tried once more.
+RETRIED = (429, 500, 502, 503, 504)
+
+
 def fetch_outcome(log: DataFrame) -> DataFrame:
-    """Replayed fetch logs as status rows: failures as negative codes, texts only of pages that answered with HTML."""
+    """Replayed fetch logs as status rows, one a domain: failures as negative codes, texts only of pages that answered with HTML.
+
+    The last try of a domain counts: a later one follows an answer in ``RETRIED``, or, without encryption, a failure of the
+    certificate. ``log`` has ``domain``, ``try``, ``failure``, ``http_status``, ``content_type`` and any text fields.
+    """
     codes = {"timeout": -1, "dns": -2, "connection": -3, "ssl": -4, "redirects": -5}
     failed = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    columns = ["failure", "http_status", "content_type", *[c for c in TEXT_FIELDS if c in log.columns]]
+    last = log.groupBy("domain").agg(F.max_by(F.struct(*columns), "try").alias("l")).select("domain", "l.*") if "try" in log.columns else log
     code = F.when(F.col("failure").isNull(), F.col("http_status")).otherwise(F.coalesce(failed[F.col("failure")], F.lit(-6)))
     good = (code == 200) & F.contains(F.lower(F.coalesce("content_type", F.lit(""))), F.lit("html"))
-    return log.select("domain", code.alias("status_code"), *[F.when(good, F.col(c)).alias(c) for c in ("title", "description")], F.col("failure").alias("error_msg"))
+    return last.select("domain", code.alias("status_code"), *[F.when(good, F.col(c)).alias(c) for c in columns[3:]], F.col("failure").alias("error_msg"))
+
+
+def may_retry(status: str = "http_status", failure: str = "failure") -> Column:
+    """Whether a first try is followed by another."""
+    return F.coalesce(F.col(status).isin(*RETRIED), F.lit(False)) | F.coalesce(F.col(failure) == "ssl", F.lit(False))

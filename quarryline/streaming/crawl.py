@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quarryline.operators.maintenance import first_arrivals
+from quarryline.session import cut
 
 
 def new_rows(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -15,19 +18,36 @@ def new_rows(spark: SparkSession, folder: str, schema: T.StructType, files_per_b
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def ingest_once(stream: DataFrame, target: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """Appends each batch's new keys to ``target``; a batch that is replayed is written over itself."""
+KEY_BUCKETS = 64
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def ingest_once(stream: DataFrame, target: str, key: str, order: str, checkpoint: str, tables: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> StreamingQuery:
+    """Appends each batch's new keys to ``target``; a batch that is replayed is written over itself.
+
+    The keys taken so far are a narrow table of their own, in buckets of the key's hash, so a batch reads the keys of its own
+    buckets and never the target. ``tables`` names more tables made of the batch's fresh rows, written before its keys: what
+    was interrupted is written again, so all tables end up with the batch or none keeps half of it for good.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = first_arrivals(batch, [key], [F.col(order)])
-        try:
-            done = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(target).filter(F.col("_batch") != number).select(key)
-            fresh = fresh.join(done, key, "left_anti")
-        except Exception as e:  # nothing is there yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
-                raise
-        fresh.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+        fresh = first_arrivals(batch, [key], [F.col(order)]).withColumn("_bucket", bucket)
+        if _exists(spark, f"{target}/keys"):
+            wanted = [r["_bucket"] for r in fresh.select("_bucket").distinct().collect()]  # at most KEY_BUCKETS
+            known = T.StructType([batch.schema[key], T.StructField("_batch", T.LongType()), T.StructField("_bucket", T.IntegerType())])
+            done = spark.read.schema(known).parquet(f"{target}/keys").filter(F.col("_bucket").isin(wanted) & (F.col("_batch") != number)).select(key, "_bucket")
+            fresh = fresh.join(done, [key, "_bucket"], "left_anti")
+        fresh = cut(fresh)
+        for name, made in ({"rows": lambda rows: rows} | (tables or {})).items():
+            made(fresh.drop("_bucket")).write.mode("overwrite").parquet(f"{target}/{name}/_batch={number}")
+        kept = fresh.select(key, "_bucket").withColumn("_batch", F.lit(number))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch", "_bucket").parquet(f"{target}/keys")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -42,3 +62,9 @@ def status_windows(stream: DataFrame, time: str = "crawled_at", late: str = "2 d
 def without_replays(stream: DataFrame, keys: list[str], time: str, late: str = "7 days") -> DataFrame:
     """Rows whose keys were not seen within the watermark."""
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+
+
+def progress_of(query: StreamingQuery) -> dict[str, float]:
+    """Rows taken and rows a second of a stream's last batch; zeros before the first."""
+    last = query.lastProgress or {}
+    return {"batch": float(last.get("batchId", -1)), "rows": float(last.get("numInputRows", 0) or 0), "rows_a_second": float(last.get("processedRowsPerSecond", 0) or 0)}
