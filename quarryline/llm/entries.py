@@ -8,7 +8,7 @@ similarity and their rarity in the reference list. An entry is accepted if its t
 has nothing left over but words that say nothing of the entry (numbers, "near", "head office", the area); a
 written area decides between entries. What no entry accepts is reported with entry 0.
 
-No data of a size that grows is broadcast: all joins are equi-joins Catalyst plans by size. Values and tokens are
+Nothing whose size grows is broadcast unless its rows are counted first; the other joins are equi-joins Catalyst plans by size. Values and tokens are
 made distinct first, so a value that a third of all rows hold is worked on once.
 
 Defined results: null and empty values, and values equal to an entry, give no row; a value without letters or
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.llm.spread import broadcast_checked
 from quarryline.session import cut
 
 # Words that say nothing of the entry meant.
@@ -129,7 +130,8 @@ def token_matches(found: DataFrame, vocabulary: DataFrame, mode: str) -> DataFra
     right = vocabulary.select("word", "generic", F.explode(_deletions("word")).alias("key"))
     near = left.join(right, "key").select("token", "word", "generic")
     letters = vocabulary if mode == "title" else vocabulary.filter("generic")
-    short = found.join(letters, F.substring("token", 1, 1) == F.substring("word", 1, 1)).select("token", "word", "generic")
+    # the vocabulary goes to the tokens, as initials are few and shared by many
+    short = found.join(broadcast_checked(letters), F.substring("token", 1, 1) == F.substring("word", 1, 1)).select("token", "word", "generic")
     pairs = near.unionByName(short).distinct()
     return pairs.withColumn("sim", worth("token", "word", "generic")).filter("sim is not null").select("token", "word", "sim")
 
@@ -144,8 +146,8 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     split = _udf_tokens(mode)
     listed = entries.select("ref_id", F.explode(F.array_distinct(split("name"))).alias("word")).filter(~F.col("word").isin("of", "the", "and"))
     df = listed.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    total = entries.agg(F.count(F.lit(1)).alias("total"))
-    idf = df.crossJoin(total).select("word", (F.log(1 + F.col("total") / F.col("df"))).alias("idf"), (F.col("df") >= 3).alias("generic"))  # one row beside the vocabulary
+    total = entries.count()
+    idf = cut(df.select("word", F.log(1 + F.lit(total) / F.col("df")).alias("idf"), (F.col("df") >= 3).alias("generic")))
     weights = listed.join(idf, "word")
     norms = weights.groupBy("ref_id").agg(F.sum(F.col("idf") * F.col("idf")).alias("entry_norm"), F.sum("idf").alias("entry_idf"), F.count(F.lit(1)).alias("entry_words"))
 
@@ -170,9 +172,8 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
 
     # soft TF-IDF of each value with the entries that hold one of its corrected tokens
     token_weight = matches.join(idf, "word").groupBy("token").agg(F.max_by("idf", F.struct("sim", "idf")).alias("token_idf"))
-    most = df.crossJoin(total).agg(F.max(F.log(1 + F.col("total"))).alias("most"))
-    weighed = at.join(token_weight, "token", "left").join(loose, "token", "left").crossJoin(most)
-    weighed = weighed.select("value", "pos", "token", F.coalesce("loose", F.lit(False)).alias("loose"), F.coalesce("token_idf", "most").alias("token_idf"))
+    weighed = at.join(token_weight, "token", "left").join(loose, "token", "left")
+    weighed = weighed.select("value", "pos", "token", F.coalesce("loose", F.lit(False)).alias("loose"), F.coalesce("token_idf", F.log(F.lit(1.0 + total))).alias("token_idf"))
     weighed = cut(weighed)
     hits = weighed.join(matches, "token").join(weights, "word")
     best = hits.groupBy("value", "ref_id", "word").agg(F.max(F.struct("sim", -F.col("pos"))).alias("m"), F.first("idf").alias("idf"))

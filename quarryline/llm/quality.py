@@ -139,10 +139,11 @@ def measures(text: str | None) -> tuple:
     for line in lines:
         for _, words, wide in line:
             n_words += len(words)
+            letters += sum(map(len, words))
             for w in words:
-                letters += len(w)
-                for l in WORD_LANGUAGES.get(w, ()):
-                    counts[l] = counts.get(l, 0) + 1
+                if w in WORD_LANGUAGES:
+                    for l in WORD_LANGUAGES[w]:
+                        counts[l] = counts.get(l, 0) + 1
             if wide:
                 n_wide += len(wide)
                 common_wide += sum(c in _ZH for c in wide)
