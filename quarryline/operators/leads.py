@@ -62,6 +62,7 @@ class Filters:
     has_employees: bool | None = None
     contact_type: list[str] = field(default_factory=list)
     excluded_domains: list[str] = field(default_factory=list)
+    max_excluded: int | None = MAX_EXCLUDED  #: of a longer list only so many count; None for all
 
     def apply(self, metadata: DataFrame, contacts: DataFrame | None = None, employees: DataFrame | None = None) -> DataFrame:
         parts: list[Column] = []
@@ -73,7 +74,7 @@ class Filters:
                 parts.append(has_text(name, text))
         if self.exclude_location:
             parts.append(lacks_text("location", self.exclude_location))
-        if seen := self.excluded_domains[:MAX_EXCLUDED]:
+        if seen := self.excluded_domains[: self.max_excluded]:
             parts.append(~F.col("domain").isin(seen))
         out = metadata.filter(all_of(parts))
         if self.contact_type:
@@ -114,7 +115,10 @@ def discover(metadata: DataFrame, filters: Filters, contacts: DataFrame | None =
         base = base.filter(keyword_filter(keyword, matches))
     found = filters.apply(base, contacts, employees)
     columns = ["domain", "title", "description", "category", "location", "email_count", "phone_count", "linkedin_count", "social_count", "emp_count", "quality_score"]
-    return found.select(*columns).distinct().orderBy(F.col("quality_score").desc(), "domain").limit(batch)
+    order = [F.col("quality_score").desc(), F.col("domain")]
+    # each key has a card at least, so the first cards are those of the first keys; only they are compared column by column
+    first = found.select("quality_score", "domain").distinct().orderBy(*order).limit(batch)
+    return found.select(*columns).join(F.broadcast(first), ["quality_score", "domain"], "left_semi").distinct().orderBy(*order).limit(batch)
 
 
 def capped_count(df: DataFrame, cap: int = COUNT_CAP) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ def build_session(cpus: int | None = None, app: str = "quarryline", **conf: str)
         .config("spark.sql.shuffle.partitions", str(cpus or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QUARRYLINE_DRIVER_MEMORY", "8g"))
@@ -37,7 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not _OWN_FOLDER:
-            _OWN_FOLDER.append("file://" + tempfile.mkdtemp(prefix="quarryline-"))
+            own = tempfile.mkdtemp(prefix="quarryline-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _OWN_FOLDER.append("file://" + own)
         folder = _OWN_FOLDER[0]
     return folder
 
