@@ -22,7 +22,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,8 @@ SHORT_TITLE = {"hr": "human resources", "vp": "vice president", "biz": "business
 SHORT_PLACE = {"pt": "port", "mt": "mount", "ft": "fort", "st": "saint", "jct": "junction", "jn": "junction", "hts": "heights", "hbr": "harbour", "upr": "upper", "nth": "north", "sth": "south"}
 FOLD = str.maketrans({"ı": "i", "ł": "l", "ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d"})
 LEAST = 0.45
+#: An entry not matched whole must be matched to this share of its rarity.
+COVER = 0.6
 
 
 def fold(text: str) -> str:
@@ -148,7 +150,10 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     df = listed.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = entries.count()
     idf = cut(df.select("word", F.log(1 + F.lit(total) / F.col("df")).alias("idf"), (F.col("df") >= 3).alias("generic")))
-    weights = listed.join(idf, "word")
+    # the reference list is short, and so is the window over one entry's words
+    rarest = Window.partitionBy("ref_id").orderBy(F.col("idf").desc(), "word").rowsBetween(Window.unboundedPreceding, -1)
+    before, whole_entry = F.coalesce(F.sum("idf").over(rarest), F.lit(0.0)), F.sum("idf").over(Window.partitionBy("ref_id"))
+    weights = listed.join(idf, "word").withColumn("lead", before <= (1 - COVER) * whole_entry + 1e-9)
     norms = weights.groupBy("ref_id").agg(F.sum(F.col("idf") * F.col("idf")).alias("entry_norm"), F.sum("idf").alias("entry_idf"), F.count(F.lit(1)).alias("entry_words"))
 
     # the steps are written out one by one: as one plan they take the driver's memory
@@ -175,7 +180,10 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     weighed = at.join(token_weight, "token", "left").join(loose, "token", "left")
     weighed = weighed.select("value", "pos", "token", F.coalesce("loose", F.lit(False)).alias("loose"), F.coalesce("token_idf", F.log(F.lit(1.0 + total))).alias("token_idf"))
     weighed = cut(weighed)
-    hits = weighed.join(matches, "token").join(weights, "word")
+    # an entry is accepted with COVER of its rarity at least, so one of its rarest words that hold the rest of it is among them
+    meant = cut(weighed.join(matches, "token").select("value", "word", "sim", "pos"))
+    options = meant.select("value", "word").distinct().join(weights.filter("lead").select("word", "ref_id"), "word").select("value", "ref_id").distinct()
+    hits = options.join(weights.select("ref_id", "word", "idf"), "ref_id").join(meant, ["value", "word"])
     best = hits.groupBy("value", "ref_id", "word").agg(F.max(F.struct("sim", -F.col("pos"))).alias("m"), F.first("idf").alias("idf"))
     best = best.select("value", "ref_id", "idf", F.col("m.sim").alias("sim"), (-F.col("m.col2")).alias("pos"))
     scored = best.groupBy("value", "ref_id").agg(
@@ -188,7 +196,7 @@ def match_values(values: DataFrame, entries: DataFrame, mode: str, areas: bool =
     # what the entry matched counts even where it might have been left over
     left = F.size(F.array_except("needed", "used"))
     full = F.col("words") == F.col("entry_words")
-    partial = (F.col("covered") >= 0.6 * F.col("entry_idf")) & ((F.col("words") >= 2) if mode == "title" else F.lit(True))
+    partial = (F.col("covered") >= COVER * F.col("entry_idf")) & ((F.col("words") >= 2) if mode == "title" else F.lit(True))
     scored = scored.withColumn("score", F.col("dot") / F.sqrt(F.greatest("value_norm", "dot") * F.col("entry_norm"))).filter((left == 0) & (full | partial) & (F.col("score") >= LEAST))
     scored = cut(scored.withColumn("full", full).select("value", "ref_id", "score", "full"))
     rank: list[Column] = [F.col("score")]

@@ -11,7 +11,7 @@ Exact copies of a text are one text (its first row stands for it), so copies don
 targets are a short list; one row per source reaches the driver.
 
 The report says for each source whether its share was reached (within ``TOLERANCE`` of it, and never without texts) and
-the largest total at which every target can hold.
+the largest total at which its target holds; the least of these is the largest total at which all do.
 
 Defined results: rows without a source, or with one that is no target, and blank texts are not used; a target
 without texts is reported with 0 reached; null targets count as 0, null caps as 1; targets that don't sum to 1
@@ -106,7 +106,5 @@ def mixed(documents: DataFrame, targets: DataFrame, total_tokens: int | None = N
     wanted_any = F.col("target_share") > 0
     close = F.abs(F.col("reached_share") - F.col("target_share")) <= TOLERANCE * F.col("target_share")
     report = report.withColumn("is_reached", F.when(wanted_any, (F.col("used_tokens") > 0) & close).otherwise(F.col("used_tokens") == 0))
-    # past this total some source can't hold its share, however the texts are repeated
-    most = report.filter(wanted_any).agg(F.floor(F.coalesce(F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")), F.lit(0.0)) + F.lit(1e-6)).cast("long").alias("largest_total"))
-    report = report.join(most, F.lit(True))
-    return selection, report.select("source", "target_share", "reached_share", "is_reached", "max_repeats", "most_uses", "texts", "available", "used_tokens", "largest_total")
+    report = report.withColumn("holds_up_to", F.when(wanted_any, F.floor(F.col("available") * F.col("max_repeats") / F.col("target_share") + F.lit(1e-6)).cast("long")))
+    return selection, report.select("source", "target_share", "reached_share", "is_reached", "max_repeats", "most_uses", "texts", "available", "used_tokens", "holds_up_to")

@@ -201,11 +201,9 @@ def test_mixing(spark):
     assert {uses[1000 + i] for i in range(3)} == {3} and not set(uses) & {2000, 2001, 2002, 2003, 2004} and max(uses.values()) <= 3
     out = {r.source: r for r in report.collect()}
     assert out["none"].used_tokens == 0 and not out["none"].is_reached and abs(sum(r.used_tokens for r in out.values()) - 1000) < 20
-    assert {r.largest_total for r in out.values()} == {0}  # a target without texts holds at no total
-    two = targets.filter("source <> 'none'")
-    _, small = mixing.mixed(docs, two, total_tokens=10)
-    room = small.filter("source = 'small'").collect()[0]
-    assert room.largest_total == int(room.available * 3 / 0.4) and room.target_share == 0.4
+    assert out["none"].holds_up_to == 0 and out["small"].holds_up_to == int(out["small"].available * 3 / 0.4)
+    exact = mixing.mixed(docs, targets.filter("source <> 'none'"), total_tokens=out["small"].holds_up_to)[1].collect()
+    assert abs(sum(r.used_tokens for r in exact if r.source == "small") - out["small"].available * 3) <= 1
     again = {r.doc_id: r.uses for r in mixing.mixed(docs, targets, total_tokens=1000)[0].collect()}
     assert again == uses
     assert mixing.mixed(docs.limit(0), targets)[0].count() == 0
