@@ -45,6 +45,12 @@ def lexemes(*columns: str, stemmed: bool = True) -> Column:
     return F.array_distinct(F.filter(positions(*columns, stemmed=stemmed), lambda w: w != ""))
 
 
+def search_vector(*columns: str) -> Column:
+    """The distinct words of several columns, as they are and in order: what is kept beside a row and made anew whenever it is written."""
+    text = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in columns]))
+    return F.array_sort(F.array_distinct(F.filter(F.split(text, WORD), lambda w: w != "")))
+
+
 def _words(text: str, stemmed: bool) -> list[str]:
     """The lexemes of a part of a query, stop words as empty places."""
     return ["" if w in _STOP else stem(w) if stemmed else w for w in re.findall(r"[^\W_]+", text.lower())]

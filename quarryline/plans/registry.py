@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,10 @@ from quarryline.functions import fulltext
 from quarryline.functions.categories import STARTER, category
 from quarryline.operators import leads, maintenance, ranks, reports, scoring
 from quarryline.plans import guard
+from quarryline.session import shared_folder
 from quarryline.sources import sinks
 from quarryline.sources.tables import read_table
+from quarryline.streaming import crawl
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,6 +180,13 @@ def fulltext_stemmed(t):
     return t.meta.filter(fulltext.match(vector, 'shipping pepper or "steel pipes"')).select("domain", "title")
 
 
+@query("""SELECT domain, fetch_ms, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''))), ' ') AS words,
+    coalesce(search_vector = list_sort(list_distinct(list_filter(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''))), false) AS is_fresh FROM domain_metadata WHERE title IS NOT NULL""")
+def derived_vectors(t):
+    vector = fulltext.search_vector("title")
+    return t.meta.filter("title is not null").select("domain", "fetch_ms", F.array_join(vector, " ").alias("words"), F.coalesce(F.col("search_vector") == vector, F.lit(False)).alias("is_fresh"))
+
+
 # ---- scores and counts ---------------------------------------------------------------------------------------
 
 SCORED = """SELECT m.domain, m.fetch_ms, coalesce(c.emails, 0) AS emails, coalesce(c.phones, 0) AS phones, coalesce(c.socials, 0) AS socials, coalesce(e.n, 0) AS people,
@@ -484,6 +494,36 @@ def csv_rows(t):
     return sinks.for_csv(t.meta, sinks.CARD_COLUMNS)
 
 
+# ---- streams: the table's file as a stream, run until all of it is taken ------------------------------------------
+
+
+def _stream(t, table: str) -> DataFrame:
+    schema = t.spark.read.parquet(f"{t.folder}/{table}.parquet").schema
+    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+
+
+def _own_folder(t) -> str:
+    return f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query("SELECT domain, min(id) AS id, count(*) OVER () AS domains FROM domain_contacts GROUP BY domain")
+def stream_first_arrivals(t):
+    folder = _own_folder(t)
+    for _ in range(2):  # a second run finds nothing new
+        crawl.ingest_once(_stream(t, "domain_contacts").select("domain", "id"), f"{folder}/out", "domain", "id", f"{folder}/state").awaitTermination()
+    out = t.spark.read.parquet(f"{folder}/out/rows").select("domain", "id")
+    return out.join(out.agg(F.count(F.lit(1)).alias("domains")), F.lit(True))
+
+
+@query("""SELECT date_trunc('day', crawled_at)::TIMESTAMP AS day, status_code, count(*) AS rows, count(*) FILTER (error_msg <> '')::BIGINT AS errors FROM domain_crawl_status WHERE crawled_at IS NOT NULL GROUP BY 1, 2""")
+def stream_windows(t):
+    folder = _own_folder(t)
+    windows = crawl.status_windows(_stream(t, "domain_crawl_status")).select(F.col("window.start").cast("timestamp_ntz").alias("day"), "status_code", "rows", "errors")
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/out")
+    windows.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out")
+
+
 from quarryline.plans import vectors  # noqa: E402
 
 QUERIES |= vectors.QUERIES

@@ -5,6 +5,7 @@ Each row holds an input and what a function makes of it; the SQL has the results
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from quarryline.functions import domains as domain_fn
 from quarryline.functions import fulltext, html
 from quarryline.functions.categories import category, name_tokens, read_lists
 from quarryline.operators import maintenance, scoring
+from quarryline.session import shared_folder
 from quarryline.sources import ingest, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,6 +179,16 @@ def _index(spark):
     return ingest.crawl_index(spark.createDataFrame([(x,) for x in INDEX], "value string"), "s1")
 
 
+CERTIFICATES = '[{"name_value": "*.a.acme.com\\nb.org", "not_before": "2025"}, {"name_value": "10.0.0.1"}, {"name_value": "acme.com"}, {"name_value": null}, {"x": 1}]'
+
+
+@table("certificate_lists", ["domain"], [("acme.com",), ("b.org",)])
+def _certificates(spark):
+    folder = f"{shared_folder(spark)}/certificates-{uuid.uuid4().hex}"
+    spark.createDataFrame([(CERTIFICATES,)], "value string").coalesce(1).write.text(folder)
+    return ingest.certificates(spark, folder)
+
+
 @table("zone_lines", ["domain"], [("acme.com",), ("b.org",)])
 def _zone(spark):
     return ingest.zone(spark.createDataFrame([("Acme.com. 1 in ns x",), ("acme.com 2",), ("b.org.\t3",), ("com. 1",), ("",)], "value string"))

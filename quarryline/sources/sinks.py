@@ -15,7 +15,7 @@ def for_csv(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, columns: list[str], path: str) -> None:
-    for_csv(df, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    for_csv(df, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def saved_lines(df: DataFrame) -> DataFrame:

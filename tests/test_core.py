@@ -209,3 +209,20 @@ def test_retries_and_tables(spark):
     spark.range(2).createOrReplaceTempView("probe")
     assert ingest.has_table(spark, "probe", ["id"]) and not ingest.has_table(spark, "probe", ["x"]) and not ingest.has_table(spark, "nothing")
     assert [r.domain for r in ingest.keys(spark, ["b", "a"]).orderBy("pos").collect()] == ["b", "a"]
+
+
+def test_tables_over_jdbc(spark):
+    if not any("derby" in os.path.basename(j) for j in glob.glob(os.path.join(os.path.dirname(__import__("pyspark").__file__), "jars", "*.jar"))):
+        pytest.skip("no relational engine at hand")
+    url, driver = "jdbc:derby:memory:quarryline;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    ingest.write_table_over_jdbc(spark.range(100).select("id", F.concat(F.lit("d"), "id").alias("domain")), url, "leads", batch=10, **driver)
+    df = ingest.read_table_over_jdbc(spark, url, "leads", "id", 0, 100, 4, **driver)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 100
+    assert maintenance.copy_columns(df.withColumn("more", F.lit(1)), spark.createDataFrame([], "domain string, id int")).dtypes == [("domain", "string"), ("id", "int")]
+
+
+def test_exports_are_read_back(spark, tmp_path):
+    df = spark.createDataFrame([("d", 'say "x", twice', None, None, 3, None, 1, 0)], "domain string, title string, category string, location string, quality_score int, email_count int, phone_count int, linkedin_count int")
+    sinks.write_csv(df.coalesce(1), sinks.CARD_COLUMNS, str(tmp_path / "out"))
+    lines = [x for p in glob.glob(str(tmp_path / "out/*.csv")) for x in open(p).read().splitlines()]
+    assert lines == [",".join(sinks.CARD_COLUMNS), 'd,"say ""x"", twice",,,3,,1,0']
