@@ -28,7 +28,6 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -219,11 +218,25 @@ def has_odd(c: str | Column) -> Column:
     return F.octet_length(c) > F.length(c)
 
 
-def words_of(texts: DataFrame) -> DataFrame:
-    """``domain``, ``field``, ``word``: the words with odd characters or question marks, without outer ASCII punctuation."""
-    mark = F.locate("?", F.col("raw"))
-    out = texts.filter(has_odd("text") | F.col("text").contains("?")).select("domain", "field", F.explode(F.array_distinct(F.split("text", r"[ \t\r\n]+"))).alias("raw"))
-    out = out.filter(has_odd("raw") | (mark > 0) & (mark < F.length("raw")))
+def tokens_of(texts: DataFrame) -> DataFrame:
+    """``domain``, ``field``, ``is_word``, ``token``, ``before``, ``after``: what there is to learn from or to find in each text, by one pass.
+
+    The different tokens with odd characters or with marks inside (``is_word``), and each token that is one odd character or has a
+    mark, with its neighbours.
+    """
+    split = texts.filter(has_odd("text") | F.col("text").contains("?")).select("domain", "field", F.split("text", r"[ \t\r\n]+").alias("t"))
+    t, none, empty = F.col("t"), F.array(F.lit(None).cast("string")), F.lit(None).cast("string")
+    inside = lambda x: (F.locate("?", x) > 0) & (F.locate("?", x) < F.length(x))
+    words = F.transform(F.array_distinct(F.filter(t, lambda x: has_odd(x) | inside(x))), lambda x: F.struct(F.lit(True).alias("is_word"), x.alias("token"), empty.alias("before"), empty.alias("after")))
+    three = F.arrays_zip(t.alias("token"), F.concat(none, t).alias("before"), F.concat(F.slice(t, 2, F.size(t)), none).alias("after"))
+    alone = F.filter(three, lambda x: x["token"].contains("?") | (F.length(x["token"]) == 1) & has_odd(x["token"]))
+    around = F.transform(alone, lambda x: F.struct(F.lit(False).alias("is_word"), x["token"].alias("token"), x["before"].alias("before"), x["after"].alias("after")))
+    return split.select("domain", "field", F.explode(F.concat(words, around)).alias("x")).select("domain", "field", "x.*")
+
+
+def words_of(tokens: DataFrame) -> DataFrame:
+    """``domain``, ``field``, ``word``: the words among ``tokens``, without outer ASCII punctuation."""
+    out = tokens.filter("is_word").select("domain", "field", F.col("token").alias("raw"))
     clauses = F.filter(F.split("raw", r"[^\x{4e00}-\x{9fff}]+"), lambda c: F.length(c) >= 3)
     each = F.explode(F.concat(F.array("raw"), F.when(F.col("raw").rlike(r"[\x{4e00}-\x{9fff}]{3}"), F.array_distinct(clauses)).otherwise(F.array().cast("array<string>")))).alias("raw")
     out = out.select("domain", "field", each)
@@ -340,13 +353,13 @@ def _edges(words: pd.Series) -> pd.Series:
     return pd.Series([edges(w) for w in words], dtype=object)
 
 
-def spellings(texts: DataFrame) -> DataFrame:
+def spellings(tokens: DataFrame) -> DataFrame:
     """``word``, ``n``, ``usual`` of all odd words: how many fields have it, and how usual its pairs of characters are.
 
     ``usual`` is the mean logarithm of the number of distinct words with each pair, so copies of a text, however many,
     make the spellings in it no more usual.
     """
-    counts = words_of(texts).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = words_of(tokens).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     held = counts.select("word", F.explode(_edges("word")).alias("edge"))
     types = held.groupBy("edge").agg(F.count(F.lit(1)).alias("types"))
     usual = held.join(types, "edge").groupBy("word").agg(F.avg(F.log("types")).alias("usual"))
@@ -379,9 +392,9 @@ def _directed(words: pd.Series, ns: pd.Series, usuals: pd.Series, twins: pd.Seri
     return pd.Series(out, dtype=object)
 
 
-def learn(texts: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """``word``, ``twin``, ``pairs``: garbled words with their clean twins and the transformations that explain them."""
-    counts = (spellings(texts) if counts is None else counts).withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
+def learn(counts: DataFrame) -> DataFrame:
+    """``word``, ``twin``, ``pairs``: garbled words among the ``spellings`` with their clean twins and the transformations that explain them."""
+    counts = counts.withColumn("skeleton", F.regexp_replace("word", ODD + r"+|\?+", ""))
     has_skeleton = F.length(F.regexp_replace("skeleton", r"[^A-Za-z]", "")) >= 2
     clean = F.col("word").rlike(r"[^\x00-\x7f]") & ~F.col("word").rlike(r"\?|�|[\x{80}-\x{9f}]")
     twin = F.struct("word", "n", "usual")
@@ -437,8 +450,9 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     Transformations are learned from all texts; with ``only``, they are applied to those of its texts.
     """
     every = cut(metadata_texts.select("domain", "field", "text").filter(has_odd("text") | F.col("text").contains("?")))  # plain texts have nothing to learn or find
-    counts = cut(spellings(every))
-    pairs = cut(learn(every, counts))
+    tokens = cut(tokens_of(every))
+    counts = cut(spellings(tokens))
+    pairs = cut(learn(counts))
     texts = only.select("domain", "field", "text").filter(has_odd("text") | F.col("text").contains("?")) if only is not None else every
     learned = supported(pairs)
     utf8 = [p for p in learned if p.startswith("utf8")]
@@ -482,8 +496,9 @@ def restore(metadata_texts: DataFrame, only: DataFrame | None = None) -> DataFra
     pairs = pairs.unionByName(undone(counts, [p for p in ranked if p.split(">")[0] not in WIDE])) if ranked else pairs
     ranks = pairs.withColumn("k", word_kind("word", "twin", "pairs")).filter("k.kind is not null").join(counts.select(F.col("word").alias("twin"), "n"), "twin", "left")
     garbled = ranks.groupBy("word").agg(F.min_by("twin", F.struct("k.kind", "k.rank", -F.col("n"), "twin")).alias("twin"), F.min("k.kind").alias("kind"))
-    hits = words_of(texts).join(broadcast_checked(cut(garbled)), "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
-    return _join_found(texts, by_run, hits, lone_marks(texts, every))
+    own = cut(tokens_of(texts)) if only is not None else tokens
+    hits = words_of(own).join(broadcast_checked(cut(garbled)), "word").groupBy("domain", "field").agg(F.min("kind").alias("word_kind"), F.map_from_entries(F.collect_set(F.struct("word", "twin"))).alias("spelling"))
+    return _join_found(texts, by_run, hits, lone_marks(own, tokens))
 
 
 def holes_match(word: str, twin: str) -> bool:
@@ -494,23 +509,15 @@ def holes_match(word: str, twin: str) -> bool:
 MARKED = r"^[.,;:()\"'\-]*\?[?.,;:()\"'\-]*\?[?.,;:()\"'\-0-9]*$|\?{4,}|\?\?+[0-9A-Za-z]|^[^A-Za-z?]*\?{2,}[^A-Za-z]*\?"
 
 
-def _around(texts: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
-    """``domain``, ``field``, ``token``, ``before``, ``after`` of the wanted tokens."""
-    t = F.split("text", r"[ \t\r\n]+")
-    none = F.array(F.lit(None).cast("string"))
-    three = F.arrays_zip(t.alias("token"), F.concat(none, t).alias("before"), F.concat(F.slice(t, 2, F.size(t)), none).alias("after"))
-    return texts.select("domain", "field", F.explode(F.filter(three, lambda x: wanted(x["token"]))).alias("x")).select("domain", "field", "x.token", "x.before", "x.after")
-
-
-def lone_marks(texts: DataFrame, every: DataFrame) -> DataFrame:
-    """``domain``, ``field`` of texts whose standing-alone question marks took the place of other characters.
+def lone_marks(own: DataFrame, every: DataFrame) -> DataFrame:
+    """``domain``, ``field`` of texts (by their tokens, ``own``) whose standing-alone question marks took the place of other characters.
 
     A token of two or more marks by itself, or one mark between two words between which other texts, of ``every``, have a
     sign outside ASCII.
     """
-    around = _around(texts.filter(F.col("text").contains("?")), lambda t: t.contains("?"))
+    around = own.filter(~F.col("is_word") & F.col("token").contains("?"))
     many = around.filter(F.col("token").rlike(MARKED)).select("domain", "field")
-    signs = _around(every.filter(has_odd("text")), lambda t: (F.length(t) == 1) & has_odd(t)).select("before", "after").distinct()
+    signs = every.filter(~F.col("is_word") & (F.length("token") == 1) & has_odd("token")).select("before", "after").distinct()
     between = around.filter("token = '?'").join(signs, "after", "left_semi").select("domain", "field")
     return many.unionByName(between).distinct()
 
