@@ -5,7 +5,8 @@ n-gram presence sets (n = 1 to 4 over the padded words): k(x, y) = |X & Y| / sqr
 labelled sentences is drawn (``per_language`` of each label, by hash), a bounded number of landmarks per label
 spans the Nystroem features phi(x) = k(x, L) k(L, L)^-1/2, and one-versus-rest ridge regression on phi gives a
 weight per landmark and language. Labels are noisy, so the fit runs twice, the second time without the rows that
-the first contradicts.
+the first contradicts. The confidence is the softmax of the scores at the scale that gives held-out labels the highest
+likelihood.
 
 Scoring k(x, L) A for a batch is a product of the sparse presence matrix X with the n-gram-by-landmark matrix G
 and with A. The product G A is formed once (n-grams by languages), so that a batch costs one gather and one
@@ -94,6 +95,8 @@ def grams(word: str) -> set[str]:
 
 #: A segment of this many words is a whole sentence; a longer one tells its language by itself.
 WHOLE, CLEAR_WORDS = 3, 4
+#: Scales of the scores tried for the confidence.
+SCALES = tuple(float(x) for x in range(1, 31))
 #: So many texts are scored as one matrix.
 BATCH = 2000
 #: So much better another language than that of the text must score for a segment; more for one that is short.
@@ -103,12 +106,12 @@ MARGIN, SHORT_MARGIN = 0.15, 0.45
 class Classifier:
     """Weights of n-grams for each language, and what turns scores into languages."""
 
-    def __init__(self, ids: dict[str, int], weights: np.ndarray, languages: list[str]):
-        self.ids, self.weights, self.languages = ids, weights, languages
+    def __init__(self, ids: dict[str, int], weights: np.ndarray, languages: list[str], scale: float = 6.0):
+        self.ids, self.weights, self.languages, self.scale = ids, weights, languages, scale
         self._words: dict[str, np.ndarray] = {}
 
     def __getstate__(self):
-        return self.ids, self.weights, self.languages
+        return self.ids, self.weights, self.languages, self.scale
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -142,7 +145,7 @@ class Classifier:
         return out / norm[:, None]
 
     def probabilities(self, scores: np.ndarray) -> np.ndarray:
-        e = np.exp(6 * (scores - scores.max(axis=1, keepdims=True)))
+        e = np.exp(self.scale * (scores - scores.max(axis=1, keepdims=True)))
         return e / e.sum(axis=1, keepdims=True)
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
@@ -226,8 +229,25 @@ def fit(sample: pd.DataFrame, landmarks: int = 30, ridge: float = 0.3) -> Classi
     texts, labels = [t for t, a in zip(texts, agree, strict=True) if a], labels[agree]
     plain = [(folded(t), l) for t, l in zip(texts, labels, strict=True) if folded(t) != t.lower() and t.isascii() is False and l not in ("ar", "hi", "ru", "zh")]
     # copies without accents stand behind the others, so that both kinds are among the landmarks
+    scale = calibrated(texts, labels, landmarks, ridge)
     both = [x for pair in zip(zip(texts, labels, strict=True), (plain + [None] * len(texts))[: len(texts)], strict=True) for x in pair if x]
-    return _fit_once([t for t, _ in both], np.array([l for _, l in both]), landmarks * 2, ridge)
+    model = _fit_once([t for t, _ in both], np.array([l for _, l in both]), landmarks * 2, ridge)
+    model.scale = scale
+    return model
+
+
+def calibrated(texts: list[str], labels: np.ndarray, landmarks: int, ridge: float) -> float:
+    """The scale under which a classifier fitted on every second row gives the labels of the others the highest likelihood; 6 where there is nothing to hold out."""
+    odd = np.arange(len(texts)) % 2 == 1
+    held = [i for i in np.flatnonzero(odd) if labels[i] in set(labels[~odd])]
+    if not held:
+        return 6.0
+    model = _fit_once([t for t, o in zip(texts, odd, strict=True) if not o], labels[~odd], landmarks, ridge)
+    s = model.scores([WORD.findall(texts[i]) for i in held])
+    s -= s.max(axis=1, keepdims=True)
+    own = s[np.arange(len(held)), [model.languages.index(labels[i]) for i in held]]
+    likelihood = {scale: float(np.mean(scale * own - np.log(np.exp(scale * s).sum(axis=1)))) for scale in SCALES}
+    return max(likelihood, key=lambda x: (likelihood[x], -x))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

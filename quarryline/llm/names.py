@@ -14,7 +14,7 @@ their grams. Pairs that pass are linked with their cosine and grouped by average
 count as 0: in each round all clusters that are each other's nearest merge, which gives what merging one by one gives,
 and no component is brought into one task.
 
-Defined results: null and empty names link with nothing; names that differ only in case, spaces or look-alike
+Defined results: rows without a domain or a name are left out; names that differ only in case, spaces or look-alike
 characters are one spelling; names equal as stored share a cluster; names without letters only link where equal; very
 long names are compared whole; ties of nearest clusters go to the smaller label; an empty table gives an empty result;
 other columns are not read.
@@ -479,7 +479,7 @@ def average_linkage(links: DataFrame, least: float = AVERAGE) -> DataFrame:
 
 def clusters(people: DataFrame) -> DataFrame:
     """``id``, ``domain``, ``name``, ``cluster`` of each named row of ``people``; labels are unique within a domain."""
-    rows = people.select("id", "domain", "name").filter("name is not null and trim(name) <> ''").withColumn("n", _norm("name"))
+    rows = people.select("id", "domain", "name").filter("domain is not null and name is not null and trim(name) <> ''").withColumn("n", _norm("name"))
     rows = cut(rows.select("id", "domain", "name", "n.*"))
     nodes = cut(rows.groupBy("domain", "norm").agg(F.bool_or("sure").alias("sure"), F.min("given").alias("given"), F.count(F.lit(1)).alias("rows")))
     links = similar(nodes, rarity(nodes), common_given(nodes))

@@ -40,6 +40,15 @@ def test_kernel_scores_equal_the_product_of_matrices(model):
     assert np.allclose(model.scores([language.WORD.findall(text)])[0], brute, atol=1e-5)
 
 
+def test_confidence_is_calibrated_on_held_out_rows():
+    rows = [(f"{a} {b}", l) for l, ts in (("en", ENGLISH), ("de", GERMAN), ("ru", RUSSIAN)) for a in ts for b in ts]
+    texts, labels = [t for t, _ in rows], __import__("numpy").array([l for _, l in rows])
+    sure = language.calibrated(texts, labels, 5, 0.3)
+    labels[::3] = "en"  # wrong labels make it less sure
+    assert 1 <= language.calibrated(texts, labels, 5, 0.3) < sure <= 30
+    assert language.calibrated(texts[:1], labels[:1], 5, 0.3) == 6.0
+
+
 def test_labels():
     assert [language.label_language(x) for x in ("en_GB", "EN", "Deutsch", "zh-Hans", "русский")] == ["en", "en", "de", "zh", "ru"]
     assert [language.label_language(x) for x in (None, "", "und", "x-default", "-", "mul")] == [None] * 6
