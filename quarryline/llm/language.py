@@ -117,20 +117,26 @@ class Classifier:
         self.__init__(*state)
 
     def _word(self, word: str) -> np.ndarray:
-        """The numbers of a word's n-grams; those no landmark has are numbered behind the others by their hash."""
-        known = self._words.get(word)
-        if known is None:
-            behind = len(self.weights)
-            known = np.array([self.ids[g] if g in self.ids else behind + zlib.crc32(g.encode()) for g in grams(word)], dtype=np.int64)
-            if len(self._words) < 200_000:
-                self._words[word] = known
-        return known
+        """The numbers of a word's n-grams, kept for the next time; those no landmark has are numbered behind the others by their hash."""
+        behind = len(self.weights)
+        found = np.array([self.ids[g] if g in self.ids else behind + zlib.crc32(g.encode()) for g in grams(word)], dtype=np.int64)
+        if len(self._words) < 200_000:
+            self._words[word] = found
+        return found
 
     def scores(self, words: list[list[str]]) -> np.ndarray:
         """One row of scores per text, given as its words: (X G) A with X the sparse presence matrix of all texts, its rows normalized."""
-        parts = [[self._word(w) for w in {w.lower() for w in ws}] for ws in words]
-        counts = np.array([sum(map(len, ps)) for ps in parts], dtype=np.int64)
-        flat = np.concatenate([x for ps in parts for x in ps]) if counts.sum() else np.empty(0, dtype=np.int64)
+        known, parts, counts = self._words, [], np.zeros(len(words), dtype=np.int64)
+        for i, ws in enumerate(words):
+            n = 0
+            for w in set(map(str.lower, ws)):
+                found = known.get(w)
+                if found is None:
+                    found = self._word(w)
+                parts.append(found)
+                n += len(found)
+            counts[i] = n
+        flat = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
         row = np.repeat(np.arange(len(words)), counts)
         present = np.sort((row << 40) | flat)
         present = present[np.r_[True, present[1:] != present[:-1]]] if len(present) else present  # an n-gram counts once in a text
@@ -174,9 +180,9 @@ class Classifier:
         s = self.scores([p[2] for p in parts])
         probability = self.probabilities(s)
         of, weight = np.array([p[0] for p in parts]), np.array([p[3] for p in parts])
-        total = np.zeros((len(texts), len(self.languages)))
-        np.add.at(total, of, s * weight[:, None])
-        main = total.argmax(axis=1)[of]
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        total = np.add.reduceat(s * weight[:, None], starts, axis=0)
+        main = np.repeat(total.argmax(axis=1), np.diff(np.r_[starts, len(of)]))
         best = s.argmax(axis=1)
         lead = s[np.arange(len(parts)), best] - s[np.arange(len(parts)), main]
         best = np.where(lead < np.where(weight < CLEAR_WORDS, SHORT_MARGIN, MARGIN), main, best)
