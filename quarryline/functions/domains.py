@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +40,15 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ends_with_any(c: Column, endings: list[str]) -> Column:
+    return c.rlike("(?:" + "|".join(re.escape(e) for e in endings) + ")$")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def host(url: str | Column) -> Column:
     """The host of an address, lowered, without ``www.``; null for a malformed address."""
     return F.regexp_replace(F.lower(F.try_parse_url(_col(url), F.lit("HOST"))), r"^www\.", "")
@@ -44,14 +56,7 @@ def host(url: str | Column) -> Column:
 
 def site_domain(url: str | Column) -> Column:
     """The host if a corpus admits it: longer than three, an allowed top-level domain, no hosting service."""
-    h = host(url)
-    allowed = F.lit(False)
-    for tld in ALLOWED_TLDS:
-        allowed = allowed | F.endswith(h, F.lit(tld))
-    blocked = F.lit(False)
-    for suffix in BLOCKED_SUFFIXES:
-        blocked = blocked | F.endswith(h, F.lit(suffix))
-    return F.when((F.length(h) > 3) & allowed & ~blocked, h)
+    return _let(host(url), lambda h: F.when((F.length(h) > 3) & _ends_with_any(h, ALLOWED_TLDS) & ~_ends_with_any(h, BLOCKED_SUFFIXES), h))
 
 
 def root_domain(value: str | Column) -> Column:
@@ -64,13 +69,6 @@ def root_domain(value: str | Column) -> Column:
     return F.when((n > 2) & second.isin(SECOND_LEVEL), last(3)).when(n >= 2, last(2)).otherwise(bare)
 
 
-def _ends_with_any(c: Column, endings: list[str]) -> Column:
-    out = F.lit(False)
-    for e in endings:
-        out = out | F.endswith(c, F.lit(e))
-    return out
-
-
 def certificate_root(name: str | Column) -> Column:
     """The registrable domain of a certificate name; null for addresses, bare names, names too short or too long, endings a corpus doesn't admit and hosting services.
 
@@ -79,12 +77,16 @@ def certificate_root(name: str | Column) -> Column:
     bare = F.regexp_replace(F.lower(F.trim(_col(name))), r"^\*\.", "")
     host_part = F.regexp_extract(bare, r"^.*?://([^/?#]*)", 1)
     bare = F.regexp_replace(F.when(host_part != "", host_part).otherwise(bare), r"^www\.", "")
-    labels = F.split(bare, r"\.")
-    last = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
-    ok = ~bare.rlike(r"^\d+\.\d+\.\d+\.\d+$") & F.contains(bare, F.lit(".")) & F.length(bare).between(4, 253)
-    two = (F.size(labels) >= 3) & F.concat(F.lit("."), last(2)).isin(CERTIFICATE_TWO_LEVEL) & ~_ends_with_any(last(3), CERTIFICATE_BLOCKED)
-    one = F.concat(F.lit("."), F.element_at(labels, -1)).isin(CERTIFICATE_TLDS) & (F.length(last(2)) >= 4) & ~_ends_with_any(last(2), CERTIFICATE_BLOCKED)
-    return F.when(ok & two, last(3)).when(ok & one, last(2))
+
+    def root(b: Column) -> Column:
+        two, one = F.regexp_extract(b, r"((?:\.[^.]*){2})$", 1), F.regexp_extract(b, r"(\.[^.]*)$", 1)
+        last_three, last_two = F.regexp_extract(b, r"([^.]*(?:\.[^.]*){2})$", 1), F.regexp_extract(b, r"([^.]*\.[^.]*)$", 1)
+        ok = ~b.rlike(r"^\d+\.\d+\.\d+\.\d+$") & F.contains(b, F.lit(".")) & F.length(b).between(4, 253)
+        kept = (last_three != "") & two.isin(CERTIFICATE_TWO_LEVEL) & ~_ends_with_any(last_three, CERTIFICATE_BLOCKED)
+        admitted = one.isin(CERTIFICATE_TLDS) & (F.length(last_two) >= 4) & ~_ends_with_any(last_two, CERTIFICATE_BLOCKED)
+        return F.when(ok & kept, last_three).when(ok & admitted, last_two)
+
+    return _let(bare, root)
 
 
 def zone_domain(line: str | Column) -> Column:

@@ -14,10 +14,10 @@ CERTIFICATES = T.StructType([T.StructField("name_value", T.StringType()), T.Stru
 def crawl_index(lines: DataFrame, shard: str | None = None) -> DataFrame:
     """``domain``, ``last_crawled``, ``shard`` of index lines that are pages: key, time and a JSON tail, status 200, HTML or no type."""
     part = F.split("value", " ", 3)
-    tail = F.element_at(part, 3)
+    tail = F.get(part, F.lit(2))
     meta = lambda k: F.get_json_object(tail, f"$.{k}")
     mime = F.lower(F.coalesce(meta("mime"), F.lit("")))
-    rows = lines.filter(F.size(part) == 3).select(meta("status").alias("status"), mime.alias("mime"), site_domain(meta("url")).alias("domain"), F.element_at(part, 2).alias("last_crawled"))
+    rows = lines.filter(F.size(part) == 3).select(meta("status").alias("status"), mime.alias("mime"), site_domain(meta("url")).alias("domain"), F.get(part, F.lit(1)).alias("last_crawled"))
     rows = rows.filter((F.col("status") == "200") & ((F.col("mime") == "") | F.contains("mime", F.lit("html"))) & F.col("domain").isNotNull())
     return rows.groupBy("domain").agg(F.min("last_crawled").alias("last_crawled")).withColumn("shard", F.lit(shard).cast("string"))
 
