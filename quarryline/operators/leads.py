@@ -118,7 +118,7 @@ def discover(metadata: DataFrame, filters: Filters, contacts: DataFrame | None =
     order = [F.col("quality_score").desc(), F.col("domain")]
     # each key has a card at least, so the first cards are those of the first keys; only they are compared column by column
     first = found.select("quality_score", "domain").distinct().orderBy(*order).limit(batch)
-    return found.select(*columns).join(F.broadcast(first), ["quality_score", "domain"], "left_semi").distinct().orderBy(*order).limit(batch)
+    return found.select(*columns).join(F.broadcast(first), ["quality_score", "domain"], "left_semi").select(*columns).distinct().orderBy(*order).limit(batch)
 
 
 def capped_count(df: DataFrame, cap: int = COUNT_CAP) -> DataFrame:
