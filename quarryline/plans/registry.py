@@ -494,12 +494,11 @@ def csv_rows(t):
     return sinks.for_csv(t.meta, sinks.CARD_COLUMNS)
 
 
-# ---- streams: the table's file as a stream, run until all of it is taken ------------------------------------------
+# ---- streams: the table's files as a stream, run until all of them are taken --------------------------------------
 
 
 def _stream(t, table: str) -> DataFrame:
-    schema = t.spark.read.parquet(f"{t.folder}/{table}.parquet").schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+    return crawl.table_rows(t.spark, f"{t.folder}/{table}.parquet")
 
 
 def _own_folder(t) -> str:

@@ -18,12 +18,28 @@ def new_rows(spark: SparkSession, folder: str, schema: T.StructType, files_per_b
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def table_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The stream of a Parquet table, which is one file or a folder of them."""
+    where, files = _found(spark, path)
+    found = files.getFileStatus(where)
+    rows = spark.readStream.schema(spark.read.parquet(path).schema)
+    if found.isDirectory():
+        return rows.parquet(path)
+    return rows.option("pathGlobFilter", where.getName()).parquet(found.getPath().getParent().toString())  # a stream's path is a folder
+
+
 KEY_BUCKETS = 64
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _found(spark: SparkSession, path: str):
+    """The path and the file system it is on."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where, files = _found(spark, path)
+    return files.exists(where)
 
 
 def ingest_once(stream: DataFrame, target: str, key: str, order: str, checkpoint: str, tables: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> StreamingQuery:

@@ -193,6 +193,13 @@ def test_stream_tables_are_written_together(spark, tmp_path):
     assert crawl.progress_of(query)["rows"] == 2
 
 
+@pytest.mark.parametrize(("name", "table"), [("stream_first_arrivals", "domain_contacts")])
+def test_streams_take_tables_in_folders(spark, duck, tmp_path, name, table):
+    spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    got = registry.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted((tuple(map(plain, r)) for r in got), key=str) == sorted((tuple(map(plain, r)) for r in duck.execute(registry.ORACLE[name]).fetchall()), key=str)
+
+
 def test_stream_windows(spark, tmp_path):
     rows = spark.sql("select timestamp'2025-01-01 10:00' crawled_at, 200 status_code, '' error_msg, 'a' k union all select timestamp'2025-01-01 11:00', 200, 'x', 'a' union all select timestamp'2025-01-20 00:00', 404, null, 'b'")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
