@@ -193,7 +193,7 @@ def test_stream_tables_are_written_together(spark, tmp_path):
     assert crawl.progress_of(query)["rows"] == 2
 
 
-@pytest.mark.parametrize(("name", "table"), [("stream_first_arrivals", "domain_contacts")])
+@pytest.mark.parametrize(("name", "table"), [("stream_first_arrivals", "domain_contacts"), ("stream_windows", "domain_crawl_status")])
 def test_streams_take_tables_in_folders(spark, duck, tmp_path, name, table):
     spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
     got = registry.QUERIES[name](spark, str(tmp_path)).collect()
