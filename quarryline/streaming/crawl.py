@@ -21,11 +21,11 @@ def new_rows(spark: SparkSession, folder: str, schema: T.StructType, files_per_b
 def table_rows(spark: SparkSession, path: str) -> DataFrame:
     """The stream of a Parquet table, which is one file or a folder of them."""
     where, files = _found(spark, path)
-    found = files.getFileStatus(where)
     rows = spark.readStream.schema(spark.read.parquet(path).schema)
-    if found.isDirectory():
+    if files.getFileStatus(where).isDirectory():
         return rows.parquet(path)
-    return rows.option("pathGlobFilter", where.getName()).parquet(found.getPath().getParent().toString())  # a stream's path is a folder
+    name = where.toString()
+    return rows.parquet(f"{name[:-1]}[{name[-1]}]")  # a stream takes a file by a pattern only; its folder would have all tables listed
 
 
 KEY_BUCKETS = 64

@@ -200,6 +200,13 @@ def test_streams_take_tables_in_folders(spark, duck, tmp_path, name, table):
     assert sorted((tuple(map(plain, r)) for r in got), key=str) == sorted((tuple(map(plain, r)) for r in duck.execute(registry.ORACLE[name]).fetchall()), key=str)
 
 
+def test_streams_take_a_file_beside_a_partitioned_table(spark, duck, tmp_path):
+    os.symlink(f"{FOLDER}/domain_crawl_status.parquet", tmp_path / "domain_crawl_status.parquet")
+    spark.range(2).withColumn("part", F.col("id")).write.partitionBy("part").parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["stream_windows"](spark, str(tmp_path)).collect()
+    assert sorted((tuple(map(plain, r)) for r in got), key=str) == sorted((tuple(map(plain, r)) for r in duck.execute(registry.ORACLE["stream_windows"]).fetchall()), key=str)
+
+
 def test_stream_windows(spark, tmp_path):
     rows = spark.sql("select timestamp'2025-01-01 10:00' crawled_at, 200 status_code, '' error_msg, 'a' k union all select timestamp'2025-01-01 11:00', 200, 'x', 'a' union all select timestamp'2025-01-20 00:00', 404, null, 'b'")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
